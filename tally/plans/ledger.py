@@ -324,12 +324,16 @@ def merchant_spend(t: Tables, as_of: dt.date,
                   .select("merchant_party_id",
                           (F.coalesce(F.col("debit"), F.lit(0))
                            - F.coalesce(F.col("credit"), F.lit(0))).alias("amount_cents")))
+    # Pre-aggregate per merchant before meeting the merchant table: a merchant
+    # with a third of all transactions becomes one row, not a skewed join key.
+    per_merchant = txn.groupBy("merchant_party_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount_cents").alias("cents"))
     party = t["transaction_party"].select(F.col("_id").alias("merchant_party_id"),
                                           F.col("name").alias("acceptor"))
-    spend = (txn.join(party, "merchant_party_id", "inner")
+    spend = (per_merchant.join(party, "merchant_party_id", "inner")
                 .groupBy(brand_key(F.col("acceptor"), brands).alias("acceptor"))
-                .agg(F.count(F.lit(1)).alias("transactions"),
-                     F.sum("amount_cents").alias("total_cents"))
+                .agg(F.sum("n").alias("transactions"),
+                     F.sum("cents").alias("total_cents"))
                 .filter(F.col("total_cents") > 0))
     return (spend.select(
                 "transactions",

@@ -59,17 +59,22 @@ def most_recent_snapshot(t: Tables, loans: DataFrame, cutoff: dt.date,
                          tiebreak: Sequence[str] = SNAPSHOT_TIEBREAK) -> DataFrame:
     """Newest snapshot per target loan created (New York time) before ``cutoff``.
 
-    The snapshots are restricted to the target loans first (semi-join), so
-    the per-loan pick only sorts the loans the tape reports.
+    The newest row per loan is picked first and the target loans are applied
+    after (a semi-join on one row per loan). The pick's partial limit runs
+    before its shuffle, so a loan with a third of all snapshots costs one row
+    per input split; restricting first would shuffle every snapshot of that
+    loan into one join task whenever the target set is too large to
+    broadcast. The result is the same, since the restriction keeps or drops
+    whole loans.
     """
     snaps = (t["loan_snapshots"]
              .filter(F.col("created_at") < ntz_lit(ny_midnight_utc(cutoff)))  # scan bound
              .filter(to_ny_wall("created_at") < ntz_lit(cutoff)))
-    ids = loans.select(F.col("_id").alias("loan_id"))
-    snaps = snaps.join(ids, "loan_id", "left_semi")
     latest = latest_per_key(snaps, ["loan_id"], [newest("created_at"), *map(newest, tiebreak)])
-    return latest.withColumn("credit_usage_dollars",
-                             F.round(dollars("disbursed_cents_cleared", as_double=False), 2))
+    ids = loans.select(F.col("_id").alias("loan_id"))
+    return (latest.join(ids, "loan_id", "left_semi")
+                  .withColumn("credit_usage_dollars",
+                              F.round(dollars("disbursed_cents_cleared", as_double=False), 2)))
 
 
 def previous_investor_tape_totals(t: Tables, cutoff: dt.date) -> DataFrame:

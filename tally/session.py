@@ -31,6 +31,7 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -25,8 +25,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast only what AQE has measured to be small at runtime.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Broadcast bounds: at planning time only sides whose scanned file bytes
+    # are under 10 MB (Spark's default); at runtime AQE may also broadcast a
+    # side whose *measured* shuffle output is under 32 MB. Anything larger
+    # is shuffled, with AQE splitting skewed partitions.
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",

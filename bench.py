@@ -27,15 +27,15 @@ def main() -> None:
     from tally.plans.catalogue import QUERIES
     from tally.session import build_session
 
-    event_dir = tempfile.mkdtemp(prefix="tally-bench-events-")
-    spark = build_session(
-        f"local[{cpus}]", app_name="tally-bench", shuffle_partitions=max(cpus, 4),
-        extra_conf={
-            "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(16 * 1024 * 1024),
-            "spark.eventLog.enabled": "false",
-            "spark.local.dir": event_dir,
-        })
+    scratch = tempfile.mkdtemp(prefix="tally-bench-")
+    conf = {
+        "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(16 * 1024 * 1024),
+        "spark.local.dir": scratch,
+    }
+    conf.update(json.loads(os.environ.get("BENCH_CONF", "{}")))
+    spark = build_session(f"local[{cpus}]", app_name="tally-bench",
+                          shuffle_partitions=max(cpus, 4), extra_conf=conf)
     spark.sparkContext.setLogLevel("ERROR")
 
     names = only or list(QUERIES)

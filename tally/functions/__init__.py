@@ -5,13 +5,15 @@ from tally.functions.text import addr5, brand_key, pg_concat
 from tally.functions.time import (
     from_ny_wall,
     ny_date,
+    ny_date_between,
     ny_midnight_utc,
     ntz_lit,
+    ny_wall_before,
     pg_to_char,
     to_ny_wall,
 )
 
 __all__ = [
     "addr5", "brand_key", "clamp0", "dollars", "from_ny_wall", "ny_date",
-    "ny_midnight_utc", "ntz_lit", "pg_concat", "pg_to_char", "round2", "to_ny_wall",
+    "ny_midnight_utc", "ntz_lit", "ny_wall_before", "pg_concat", "pg_to_char", "round2", "to_ny_wall",
 ]

@@ -60,6 +60,24 @@ def ny_midnight_utc(day: dt.date) -> dt.datetime:
     return local.astimezone(_UTC).replace(tzinfo=None)
 
 
+def ny_wall_before(instant: Column | str, day: dt.date, inclusive: bool = False) -> Column:
+    """``to_ny_wall(instant) < day 00:00`` (or ``<=``), as a plain UTC comparison.
+
+    Exact by ``ny_midnight_utc``; a comparison with a literal is pushed into
+    the parquet scan and costs no per-row time-zone conversion.
+    """
+    bound = ntz_lit(ny_midnight_utc(day))
+    c = _col(instant)
+    return c <= bound if inclusive else c < bound
+
+
+def ny_date_between(instant: Column | str, start: dt.date, end: dt.date) -> Column:
+    """``ny_date(instant) BETWEEN start AND end`` as UTC bounds (see above)."""
+    c = _col(instant)
+    return ((c >= ntz_lit(ny_midnight_utc(start)))
+            & (c < ntz_lit(ny_midnight_utc(end + dt.timedelta(days=1)))))
+
+
 # Postgres to_char template tokens and the Spark datetime
 # pattern letters with the same output. Postgres matches these tokens in
 # either case; longest token first.

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from tally.functions.money import clamp0, dollars
 from tally.functions.text import brand_key, pg_concat
 from tally.functions.time import (
-    ny_date,
-    ny_midnight_utc,
+    ny_date_between,
     ntz_lit,
     pg_to_char,
     report_timestamp_text,
@@ -275,12 +274,9 @@ def early_month_cleared_totals(t: Tables, as_of: dt.date,
     start = as_of.replace(day=1)
     end = start + dt.timedelta(days=14)
     lender = lender_rows(t)
+    # New York days start..end as exact UTC bounds, evaluated in the scan.
     window = (lender.filter(F.col("status") == "cleared")
-              # Scan-level bounds (exact, see ny_midnight_utc) ...
-              .filter((F.col("created_at") >= ntz_lit(ny_midnight_utc(start)))
-                      & (F.col("created_at") < ntz_lit(ny_midnight_utc(end + dt.timedelta(days=1)))))
-              # ... and the report's own predicate.
-              .filter(ny_date("created_at").between(F.lit(start), F.lit(end))))
+              .filter(ny_date_between("created_at", start, end)))
     cleared = latest_per_key(window, ["transaction_id"], _newest_first(tiebreak))
     is_cleared = F.col("status") == "cleared"
     disb = is_cleared & (F.col("transaction_type") == "disbursement")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tally.functions.text import addr5, pg_concat
 from tally.functions.time import (
     ny_date,
-    ny_midnight_utc,
+    ny_wall_before,
     ntz_lit,
     pg_to_char,
     to_ny_wall,
@@ -33,7 +33,7 @@ def acceleration_events(t: Tables, as_of: dt.date) -> DataFrame:
     ae = t["acceleration_events"]
     day = F.lit(as_of)
     keep = (((F.lower(F.col("notes")) == "automated import") & (F.col("date") <= day))
-            | (ny_date("created_at") <= day))
+            | ny_wall_before("created_at", as_of + dt.timedelta(days=1)))
     return (ae.filter(keep & (F.col("canceled") != F.lit(True)))
               .select("loan_id", "canceled", F.col("type").alias("loan_type"),
                       ny_date("created_at").alias("created_at"), "notes",
@@ -72,8 +72,7 @@ def _snapshots_as_of(t: Tables, as_of: dt.date, tiebreak: Sequence[str]) -> Data
     broken by ``tiebreak``.
     """
     s = t["loan_snapshots"]
-    rows = (s.filter(F.col("created_at") <= ntz_lit(ny_midnight_utc(as_of)))  # scan bound
-             .filter(to_ny_wall("created_at") <= ntz_lit(as_of)))
+    rows = s.filter(ny_wall_before("created_at", as_of, inclusive=True))
     return latest_per_key(rows, ["loan_id"], [newest("created_at"), *map(newest, tiebreak)])
 
 
@@ -120,13 +119,16 @@ def loan_snapshots_collections(t: Tables, as_of: dt.date,
 # --- reapplications ------------------------------------------------------
 
 def _originated(t: Tables) -> DataFrame:
+    """Originated loans with their application (one shared relation, so Spark
+    can reuse its exchanges across the three reapplication branches)."""
     apps, loans = t["applications"], t["loans"]
     return (apps.join(loans, apps["_id"] == loans["loan_application_id"], "inner")
                 .filter(loans["origination_date"].isNotNull())
                 .select(apps["_id"].alias("app_id"), apps["user_id"].alias("app_user_id"),
                         loans["user_id"].alias("loan_user_id"),
                         addr5(apps["address_hash"]).alias("address_hash"),
-                        loans["status"].alias("loan_status")))
+                        loans["status"].alias("loan_status"),
+                        loans["withdrawal_reason"].alias("withdrawal_reason")))
 
 
 def reapplications(t: Tables) -> DataFrame:
@@ -155,19 +157,18 @@ def reapplications_expired(t: Tables) -> DataFrame:
     """Per (user, address key): originated loans x expired originated loans, when > 1.
 
     The source counts the rows of a join that pairs every originated loan
-    with every expired one at the same user and address. The count is the
-    product of the two per-key counts, so it is computed that way and the
-    pairs are never materialised.
+    with every expired one at the same user and address. That count is the
+    product of the two per-key counts, taken here in one aggregate; the pairs
+    are never materialised.
     """
     orig = _originated(t).filter(F.col("app_user_id").isNotNull()
                                  & F.col("address_hash").isNotNull())
-    n = orig.groupBy("app_user_id", "address_hash").agg(F.count(F.lit(1)).alias("n"))
-    m = (orig.filter(F.col("loan_status") == "EXPIRED")
-             .groupBy("app_user_id", "address_hash").agg(F.count(F.lit(1)).alias("m")))
-    return (n.join(m, ["app_user_id", "address_hash"], "inner")
-             .select((F.col("n") * F.col("m")).alias("user_count"),
-                     F.col("app_user_id").alias("user_id"), "address_hash")
-             .filter(F.col("user_count") > 1))
+    counts = orig.groupBy("app_user_id", "address_hash").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col("loan_status") == "EXPIRED", F.lit(1))).alias("m"))
+    return (counts.select((F.col("n") * F.col("m")).alias("user_count"),
+                          F.col("app_user_id").alias("user_id"), "address_hash")
+                  .filter(F.col("user_count") > 1))
 
 
 def first_expired_authorization(t: Tables) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tally.functions.money import dollars
 from tally.functions.text import pg_concat
-from tally.functions.time import ny_midnight_utc, ntz_lit, pg_to_char, to_ny_wall
+from tally.functions.time import ny_wall_before, pg_to_char
 from tally.operators.latest import latest_per_key, newest
 from tally.operators.pivot import pivot_sums
 
@@ -67,9 +67,7 @@ def most_recent_snapshot(t: Tables, loans: DataFrame, cutoff: dt.date,
     broadcast. The result is the same, since the restriction keeps or drops
     whole loans.
     """
-    snaps = (t["loan_snapshots"]
-             .filter(F.col("created_at") < ntz_lit(ny_midnight_utc(cutoff)))  # scan bound
-             .filter(to_ny_wall("created_at") < ntz_lit(cutoff)))
+    snaps = t["loan_snapshots"].filter(ny_wall_before("created_at", cutoff))
     latest = latest_per_key(snaps, ["loan_id"], [newest("created_at"), *map(newest, tiebreak)])
     ids = loans.select(F.col("_id").alias("loan_id"))
     return (latest.join(ids, "loan_id", "left_semi")

@@ -63,6 +63,15 @@ def ledger_unvoided_latest(spark, sf_dir):
     return L.cleared_versions(_t(spark, sf_dir), "created_local").select(*_LEDGER_KEEP)
 
 
+def ledger_unvoided_latest_stream(spark, sf_dir):
+    """Same result as ``ledger_unvoided_latest``, kept by a streaming aggregate
+    over the events files (run to completion with an available-now trigger)."""
+    from tally.streaming.ledger import ledger_stream_from_events, run_settled_stream
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    stream = ledger_stream_from_events(spark, sf_dir, schema)
+    return run_settled_stream(spark, stream, "created_local").select(*_LEDGER_KEEP)
+
+
 def ledger_latest_then_filter(spark, sf_dir):
     return L.latest_then_filter(_t(spark, sf_dir)).select(*_LEDGER_KEEP)
 
@@ -174,6 +183,7 @@ QUERIES: dict[str, Query] = {
     "ledger_current_versions": ledger_current_versions,
     "ledger_first_versions": ledger_first_versions,
     "ledger_unvoided_latest": ledger_unvoided_latest,
+    "ledger_unvoided_latest_stream": ledger_unvoided_latest_stream,
     "ledger_latest_then_filter": ledger_latest_then_filter,
     "external_ledger_created_local": _external("created_local"),
     "external_ledger_effective": _external("effective"),

@@ -250,7 +250,8 @@ def external_ledger_first_last(t: Tables, *, program: str, generated_at: dt.date
     rows = rows.withColumn("transaction_date", txn_date)
     if end_date is not None:
         rows = rows.filter(F.col("transaction_date") < ntz_lit(end_date))
-    return (rows.orderBy(oldest("first_created_at"))
+    # Unique secondary key: equal creation times still split across range partitions.
+    return (rows.orderBy(oldest("first_created_at"), oldest("transaction_id"))
                 .select(pg_to_char("transaction_date", "MM/DD/YYYY").alias("date"),
                         F.col("transaction_type").alias("ledger_item_type"),
                         transaction_label(method, F.col("is_ach")).alias("transaction_type"),

@@ -203,14 +203,17 @@ def remittance_report(t: Tables, *, cutoff: dt.date, generated_on: dt.date, prog
     bal = loan_balances(t, cutoff, accounts, [f"b_{n}" for n in names]) \
         .withColumn("has_balances", F.lit(True))
 
+    # Loan-keyed relations first: the previous totals, snapshot and balances
+    # are already partitioned by loan id, so these joins share one shuffle of
+    # the loans; users and applications (other keys) come last.
     base = (loans.select(F.col("_id").alias("loan_id"), F.col("slug"), F.col("status"),
                          F.col("repaid_date"), F.col("user_id"), F.col("loan_application_id"))
-                 .join(users, F.col("user_id") == F.col("u_id"), "inner")
-                 .join(apps, F.col("loan_application_id") == F.col("a_id"), "inner")
                  .join(prev, "loan_id", "inner")
                  .join(snap, "loan_id", "left")
+                 .join(bal, "loan_id", "left")
                  .join(nsf, "loan_id", "left")
-                 .join(bal, "loan_id", "left"))
+                 .join(users, F.col("user_id") == F.col("u_id"), "inner")
+                 .join(apps, F.col("loan_application_id") == F.col("a_id"), "inner"))
 
     def b(name: str) -> Column:
         return F.coalesce(F.col(f"b_{name}"), F.lit(0))

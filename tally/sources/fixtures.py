@@ -236,8 +236,21 @@ def with_clause(names: list[str]) -> str:
     return "WITH " + ",\n".join(f"{n} AS (\n  {view_sql(n)}\n)" for n in ordered)
 
 
+_SOURCES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    """The test table as a DataFrame, built once per session and path.
+
+    Reusing the DataFrame saves the file listing and footer read that every
+    ``spark.read`` repeats; the test data is read-only, so it never goes stale.
+    """
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    key = (id(spark), path)
+    df = _SOURCES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _SOURCES[key] = spark.read.parquet(path)
+    return df
 
 
 def build_view(spark: SparkSession, sf_dir: str, name: str,

@@ -17,6 +17,7 @@ from tally.functions.time import (
     to_ny_wall,
 )
 from tally.operators.latest import latest_per_key, newest, oldest
+from tally.operators.materialize import materialize
 from tally.operators.optional import optional_filters
 
 Tables = Mapping[str, DataFrame]
@@ -118,17 +119,33 @@ def loan_snapshots_collections(t: Tables, as_of: dt.date,
 
 # --- reapplications ------------------------------------------------------
 
-def _originated(t: Tables) -> DataFrame:
-    """Originated loans with their application (one shared relation, so Spark
-    can reuse its exchanges across the three reapplication branches)."""
+def application_loans(t: Tables) -> DataFrame:
+    """Loans joined to their applications, with every column the reapplication
+    branches read (one relation, so the report can materialise it once)."""
     apps, loans = t["applications"], t["loans"]
     return (apps.join(loans, apps["_id"] == loans["loan_application_id"], "inner")
-                .filter(loans["origination_date"].isNotNull())
                 .select(apps["_id"].alias("app_id"), apps["user_id"].alias("app_user_id"),
-                        loans["user_id"].alias("loan_user_id"),
                         addr5(apps["address_hash"]).alias("address_hash"),
-                        loans["status"].alias("loan_status"),
-                        loans["withdrawal_reason"].alias("withdrawal_reason")))
+                        apps["listing_address_line1"], apps["agent_id"],
+                        apps["state"].alias("app_state"),
+                        loans["user_id"].alias("loan_user_id"), loans["slug"],
+                        loans["status"].alias("loan_status"), loans["is_ach_only"],
+                        loans["portfolio"], loans["principal"], loans["authorized_at"],
+                        loans["origination_date"], loans["program"],
+                        loans["withdrawal_reason"]))
+
+
+def _reapplications(j: DataFrame) -> DataFrame:
+    orig = j.filter(F.col("origination_date").isNotNull())
+    counts = (orig.groupBy(F.col("loan_user_id").alias("user_id"), "address_hash")
+                  .agg(F.count("loan_user_id").alias("user_count"))
+                  .filter(F.col("user_count") > 1))
+    # Reapplying applications: one per distinct (loan user, application).
+    reapplying = (orig.filter(F.col("withdrawal_reason").like("USER_REAPPLYING%"))
+                      .select(F.col("loan_user_id").alias("user_id"), "app_id", "address_hash")
+                      .distinct())
+    return (reapplying.join(counts, ["user_id", "address_hash"], "inner")
+                      .select("user_id", "user_count", "address_hash"))
 
 
 def reapplications(t: Tables) -> DataFrame:
@@ -137,20 +154,18 @@ def reapplications(t: Tables) -> DataFrame:
     One row per reapplying application (user, address key, loan count).
     ``LIKE 'USER_REAPPLYING%'``: the underscores are one-character wildcards.
     """
-    loans, apps = t["loans"], t["applications"]
-    reapplying = (loans.filter(F.col("withdrawal_reason").like("USER_REAPPLYING%")
-                               & F.col("origination_date").isNotNull())
-                       .select("user_id", "loan_application_id").distinct())
-    counts = (_originated(t)
-              .groupBy(F.col("loan_user_id").alias("c_user_id"),
-                       F.col("address_hash").alias("c_address_hash"))
-              .agg(F.count("loan_user_id").alias("user_count"))
-              .filter(F.col("user_count") > 1))
-    ra = apps.join(reapplying, apps["_id"] == reapplying["loan_application_id"], "inner")
-    key = addr5(apps["address_hash"])
-    return (ra.join(counts, (reapplying["user_id"] == counts["c_user_id"])
-                    & (key == counts["c_address_hash"]), "inner")
-              .select(reapplying["user_id"], F.col("user_count"), key.alias("address_hash")))
+    return _reapplications(application_loans(t))
+
+
+def _reapplications_expired(j: DataFrame) -> DataFrame:
+    orig = j.filter(F.col("origination_date").isNotNull() & F.col("app_user_id").isNotNull()
+                    & F.col("address_hash").isNotNull())
+    counts = orig.groupBy("app_user_id", "address_hash").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col("loan_status") == "EXPIRED", F.lit(1))).alias("m"))
+    return (counts.select((F.col("n") * F.col("m")).alias("user_count"),
+                          F.col("app_user_id").alias("user_id"), "address_hash")
+                  .filter(F.col("user_count") > 1))
 
 
 def reapplications_expired(t: Tables) -> DataFrame:
@@ -161,14 +176,7 @@ def reapplications_expired(t: Tables) -> DataFrame:
     product of the two per-key counts, taken here in one aggregate; the pairs
     are never materialised.
     """
-    orig = _originated(t).filter(F.col("app_user_id").isNotNull()
-                                 & F.col("address_hash").isNotNull())
-    counts = orig.groupBy("app_user_id", "address_hash").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(F.when(F.col("loan_status") == "EXPIRED", F.lit(1))).alias("m"))
-    return (counts.select((F.col("n") * F.col("m")).alias("user_count"),
-                          F.col("app_user_id").alias("user_id"), "address_hash")
-                  .filter(F.col("user_count") > 1))
+    return _reapplications_expired(application_loans(t))
 
 
 def first_expired_authorization(t: Tables) -> DataFrame:
@@ -193,7 +201,8 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
                          start: dt.datetime | None = None, end: dt.datetime | None = None,
                          status: str | None = None, reapplication: str | None = None,
                          test_account: str | None = None, program: str | None = None,
-                         user_id=None, strict_address: bool = False) -> DataFrame:
+                         user_id=None, strict_address: bool = False,
+                         materialize_shared: bool = True) -> DataFrame:
     """Reapplication and billing classification of every authorized loan.
 
     ``strict_address=False`` keeps the source's join as written: expired
@@ -203,35 +212,41 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
     is computed from per-user counts, without forming the pairs.
     ``strict_address=True`` matches both on user and address.
 
+    The loans-applications join feeds four branches; ``materialize_shared``
+    checkpoints it once to the shared checkpoint folder instead of
+    recomputing (and re-shuffling) it per branch.
+
     Optional filters: ``state``, ``amount_min``+``amount_max`` (both or
     neither), ``start``/``end`` (inclusive, on authorization time),
     ``status``, ``reapplication`` (result label), ``test_account``
     ('true'/'false'), ``program``, ``user_id``.
     """
-    apps, loans, users = t["applications"], t["loans"], t["users"]
-    base = (apps.join(loans, apps["_id"] == loans["loan_application_id"], "inner")
-                .filter(loans["authorized_at"].isNotNull()))
+    users = t["users"]
+    j = application_loans(t)
+    if materialize_shared:
+        j = materialize(j)
+    base = j.filter(F.col("authorized_at").isNotNull())
     user_join = "inner" if (exclude_users or user_id is not None) else "left"
-    base = base.join(users, loans["user_id"] == users["_id"], user_join)
+    base = base.join(users, base["loan_user_id"] == users["_id"], user_join)
     base = base.select(
-        loans["user_id"].alias("user_id"), apps["user_id"].alias("app_user_id"),
-        addr5(apps["address_hash"]).alias("app_addr"),
-        apps["_id"].alias("loan_application_id"), loans["slug"].alias("loan_id"),
+        F.col("loan_user_id").alias("user_id"), "app_user_id",
+        F.col("address_hash").alias("app_addr"),
+        F.col("app_id").alias("loan_application_id"), F.col("slug").alias("loan_id"),
         F.upper(pg_concat(users["first_name"], " ", users["last_name"])).alias("borrower_name"),
-        apps["listing_address_line1"], users["state"].alias("home_state"),
-        F.when(loans["is_ach_only"] == F.lit(True), "ACH").otherwise("CARD").alias("loan_type"),
-        loans["status"].alias("current_status"), loans["portfolio"].alias("facility"),
-        loans["principal"].alias("loan_amount"), loans["authorized_at"].alias("billable_date"),
-        loans["origination_date"], loans["program"],
-        F.when(apps["agent_id"].isin(list(test_agents)), True).otherwise(False)
+        "listing_address_line1", users["state"].alias("home_state"),
+        F.when(F.col("is_ach_only") == F.lit(True), "ACH").otherwise("CARD").alias("loan_type"),
+        F.col("loan_status").alias("current_status"), F.col("portfolio").alias("facility"),
+        F.col("principal").alias("loan_amount"), F.col("authorized_at").alias("billable_date"),
+        "origination_date", "program",
+        F.when(F.col("agent_id").isin(list(test_agents)), True).otherwise(False)
         .alias("test_account") if test_agents else F.lit(False).alias("test_account"),
-        users["_id"].alias("users_id"), apps["state"].alias("app_state"),
+        users["_id"].alias("users_id"), "app_state",
     )
 
-    reapp_keys = (reapplications(t).select(F.col("user_id").alias("app_user_id"),
+    reapp_keys = (_reapplications(j).select(F.col("user_id").alias("app_user_id"),
                                            F.col("address_hash").alias("app_addr"))
                   .distinct().withColumn("has_reapp", F.lit(True)))
-    expired = reapplications_expired(t).select(F.col("user_id").alias("app_user_id"),
+    expired = _reapplications_expired(j).select(F.col("user_id").alias("app_user_id"),
                                                F.col("address_hash").alias("app_addr"))
     firsts = first_expired_authorization(t).select(F.col("user_id"),
                                                    "original_authorized_at",

@@ -9,10 +9,11 @@ relations. Money stays decimal inside and becomes double only on output.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tally.functions.money import dollars
 from tally.functions.text import pg_concat
@@ -120,21 +121,34 @@ def nsf_repayments(t: Tables, tiebreak: Sequence[str] = STATUS_TIEBREAK) -> Data
                             "payment_slug"))
 
 
-def _entries(t: Tables, cutoff: dt.date) -> DataFrame:
-    """Ledger entries effective before ``cutoff`` with their signed dollar impact."""
+def _entries(t: Tables, cutoff: dt.date) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """Ledger entries effective before ``cutoff`` with their signed impact.
+
+    The report rounds ``amount * normal_balance / 100`` to cents per entry
+    before summing. For integer-cent amounts that rounding is exact, so the
+    impact is summed as ``long`` cents and turned into dollars once per
+    group (same result, no wide-decimal arithmetic per row); fractional
+    amounts keep the per-entry decimal rounding. Returns the entries and
+    the function that finishes a summed impact.
+    """
     e, tx, acc = t["ledger_entries"], t["ledger_transactions"], t["ledger_accounts"]
     tx = tx.filter(F.col("effective_date") < F.lit(cutoff)).select(
         F.col("_id").alias("ledger_transaction_id"))
     acc = acc.select(F.col("name").alias("account"), "normal_balance")
     joined = e.join(tx, "ledger_transaction_id", "inner").join(acc, "account", "inner")
-    impact = F.round(dollars(F.col("amount") * F.col("normal_balance"), as_double=False), 2)
-    return joined.select("loan_id", "account", impact.alias("impact"))
+    signed = F.col("amount") * F.col("normal_balance")
+    if isinstance(e.schema["amount"].dataType, IntegralType):
+        impact, finish = signed, (lambda c: dollars(c, as_double=False))
+    else:
+        impact, finish = F.round(dollars(signed, as_double=False), 2), (lambda c: c)
+    return joined.select("loan_id", "account", impact.alias("impact")), finish
 
 
 def entry_impacts(t: Tables, cutoff: dt.date) -> DataFrame:
     """Per (loan, account): sum of per-entry rounded signed dollars."""
-    return (_entries(t, cutoff).groupBy("loan_id", "account")
-            .agg(F.sum("impact").alias("normalized_dollars")))
+    entries, finish = _entries(t, cutoff)
+    return (entries.groupBy("loan_id", "account")
+            .agg(finish(F.sum("impact")).alias("normalized_dollars")))
 
 
 def loan_balances(t: Tables, cutoff: dt.date, accounts: Sequence[str],
@@ -144,8 +158,10 @@ def loan_balances(t: Tables, cutoff: dt.date, accounts: Sequence[str],
     Equal to pivoting ``entry_impacts`` (a sum of per-account sums), done as
     one aggregate straight from the entries.
     """
-    return pivot_sums(_entries(t, cutoff), ["loan_id"], "account", accounts,
-                      F.col("impact"), names)
+    entries, finish = _entries(t, cutoff)
+    names = list(names or accounts)
+    sums = pivot_sums(entries, ["loan_id"], "account", accounts, F.col("impact"), names)
+    return sums.select("loan_id", *[finish(F.col(n)).alias(n) for n in names])
 
 
 def investor_refunds(t: Tables, cutoff: dt.date) -> DataFrame:

@@ -4,6 +4,7 @@ reading from a plausible wrong one."""
 import datetime as dt
 
 from hypothesis import given, settings
+from pyspark.sql import functions as F
 from hypothesis import strategies as st
 
 from tally.plans import ledger as L
@@ -189,3 +190,27 @@ def test_snapshot_cutoff_is_midnight_inclusive(spark):
     t = {"loan_snapshots": spark.createDataFrame(snap, sdl)}
     got = [r.status for r in N.loan_snapshots_current(t, dt.date(2024, 1, 20)).collect()]
     assert got == ["A"]
+
+
+def test_entry_impacts_round_per_entry_for_fractional_cents(spark):
+    from decimal import Decimal
+
+    from tally.plans import remittance as R
+    t = {
+        "ledger_entries": spark.createDataFrame(
+            [(1, "principal", Decimal("0.4"), 10), (1, "principal", Decimal("0.4"), 10),
+             (2, "principal", Decimal("150"), 10)],
+            "loan_id bigint, account string, amount decimal(10,1), ledger_transaction_id bigint"),
+        "ledger_transactions": spark.createDataFrame([(10, dt.date(2020, 1, 1))],
+                                                     "_id bigint, effective_date date"),
+        "ledger_accounts": spark.createDataFrame([("principal", -1)],
+                                                 "name string, normal_balance int"),
+    }
+    got = {r.loan_id: r.normalized_dollars for r in
+           R.entry_impacts(t, dt.date(2021, 1, 1)).collect()}
+    # Each 0.4-cent entry rounds to 0.00 before the sum (summing first would give -0.01).
+    assert got == {1: Decimal("0.00"), 2: Decimal("-1.50")}
+    t["ledger_entries"] = t["ledger_entries"].withColumn("amount", F.col("amount").cast("long"))
+    bal = R.loan_balances(t, dt.date(2021, 1, 1), ["principal", "other"]).collect()
+    assert {r.loan_id: (r.principal, r.other) for r in bal} == {
+        1: (Decimal("0.00"), None), 2: (Decimal("-1.50"), None)}

@@ -18,9 +18,19 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
+def _driver_memory() -> str:
+    """Up to 8 GB, at most 60% of physical memory (local mode: driver = executor)."""
+    try:
+        with open("/proc/meminfo") as f:
+            kb = int(next(line for line in f if line.startswith("MemTotal")).split()[1])
+        return f"{max(1, min(8, int(kb * 0.6 / 1024 / 1024)))}g"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    cpus = int(os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4)))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
@@ -29,7 +39,7 @@ def main() -> None:
 
     scratch = tempfile.mkdtemp(prefix="tally-bench-")
     conf = {
-        "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+        "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", _driver_memory()),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(16 * 1024 * 1024),
         "spark.local.dir": scratch,
     }

@@ -80,7 +80,7 @@ def brute_cleared(rows, date_rule):
 
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3),
-                          st.sampled_from(["cleared", "voided", "pending"]),
+                          st.sampled_from(["cleared", "voided", "pending", None]),
                           st.sampled_from(["card", "direct", "check"]),
                           st.one_of(st.none(), st.integers(0, 5)),
                           st.sampled_from(["lender", "lender", "borrower"])),
@@ -214,3 +214,24 @@ def test_entry_impacts_round_per_entry_for_fractional_cents(spark):
     bal = R.loan_balances(t, dt.date(2021, 1, 1), ["principal", "other"]).collect()
     assert {r.loan_id: (r.principal, r.other) for r in bal} == {
         1: (Decimal("0.00"), None), 2: (Decimal("-1.50"), None)}
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(1, 6)), min_size=1, max_size=15))
+def test_adding_an_older_version_never_changes_the_newest(spark, spec):
+    rows = [ledger_row(i + 10, k, "cleared", "card", h) for i, (k, h) in enumerate(spec)]
+    older = [ledger_row(1000 + k, k, "cleared", "card", 0) for k in {k for k, _ in spec}]
+    before = sorted(r.event_id for r in
+                    L.ledger_current_versions({"ledger": ledger_df(spark, rows)}).collect())
+    after = sorted(r.event_id for r in
+                   L.ledger_current_versions({"ledger": ledger_df(spark, rows + older)}).collect())
+    assert before == after
+
+
+def test_early_month_gross_at_least_net_when_credits_non_negative(spark):
+    from conftest import SF_MID
+    from tally.plans.catalogue import QUERIES
+    df = QUERIES["early_month_totals"](spark, SF_MID)
+    assert df.count() > 0
+    assert df.filter("cleared_gross_disbursement_amount < cleared_net_disbursement_amount"
+                     ).count() == 0

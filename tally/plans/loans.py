@@ -243,17 +243,23 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
         users["_id"].alias("users_id"), "app_state",
     )
 
-    reapp_keys = (_reapplications(j).select(F.col("user_id").alias("app_user_id"),
-                                           F.col("address_hash").alias("app_addr"))
-                  .distinct().withColumn("has_reapp", F.lit(True)))
-    expired = _reapplications_expired(j).select(F.col("user_id").alias("app_user_id"),
-                                               F.col("address_hash").alias("app_addr"))
+    # Both (user, address) lookups in one keyed relation: one aggregate
+    # instead of two joins of the (large) loan rows.
+    reapp_keys = _reapplications(j).select(
+        F.col("user_id").alias("app_user_id"), F.col("address_hash").alias("app_addr"),
+        F.lit(True).alias("has_reapp"), F.lit(None).cast("boolean").alias("expired_here"))
+    expired = _reapplications_expired(j).select(
+        F.col("user_id").alias("app_user_id"), F.col("address_hash").alias("app_addr"))
+    flags = (reapp_keys.unionByName(expired.select(
+                 "app_user_id", "app_addr", F.lit(None).cast("boolean").alias("has_reapp"),
+                 F.lit(True).alias("expired_here")))
+             .groupBy("app_user_id", "app_addr")
+             .agg(F.max("has_reapp").alias("has_reapp"),
+                  F.max("expired_here").alias("expired_here")))
     firsts = first_expired_authorization(t).select(F.col("user_id"),
                                                    "original_authorized_at",
                                                    F.lit(True).alias("has_first"))
-    rows = (base.join(reapp_keys, ["app_user_id", "app_addr"], "left")
-                .join(expired.withColumn("expired_here", F.lit(True)),
-                      ["app_user_id", "app_addr"], "left")
+    rows = (base.join(flags, ["app_user_id", "app_addr"], "left")
                 .join(firsts, "user_id", "left"))
     billable = (F.coalesce(F.col("has_first"), F.lit(False))
                 & (F.col("billable_date") == F.col("original_authorized_at")))

@@ -78,3 +78,16 @@ def test_month_window_reaches_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan.replace("\n", " ") \
         or ("GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan)
+
+
+def test_latest_per_key_is_one_shuffle(spark):
+    import re
+    plan = plan_text(QUERIES["ledger_current_versions"](spark, SF_SMALL))
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+
+
+def test_snapshot_and_void_cutoffs_reach_the_scan(spark):
+    plan = plan_text(QUERIES["most_recent_snapshot"](spark, SF_SMALL))
+    assert "LessThan(l_shipdate,2000-01-01T05:00)" in plan
+    plan = plan_text(QUERIES["loan_snapshots_current"](spark, SF_SMALL))
+    assert "LessThanOrEqual(l_shipdate,2000-01-01T05:00)" in plan

@@ -11,7 +11,6 @@ the row, as in the outer-join form).
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from tally.operators.latest import first_value_per_key
 

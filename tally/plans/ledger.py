@@ -46,14 +46,6 @@ BRANDS: tuple[tuple[str, tuple[str, ...]], ...] = (
 
 DATE_RULES = ("created_local", "effective", "effective_only")
 
-EXTERNAL_LEDGER_COLUMNS = (
-    "transaction_id", "date", "ledger_item_type", "transaction_type", "debit", "credit",
-    "key", "loan_principal", "is_ach", "agent_id", "applicant", "listing_address_line_1",
-    "listing_address_line_2", "listing_city", "listing_state", "listing_zip",
-    "report_generated_at",
-)
-
-
 def _newest_first(tiebreak: Sequence[str], ts: str = "created_at") -> list[Column]:
     return [newest(ts), *[newest(c) for c in tiebreak]]
 

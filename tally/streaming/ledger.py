@@ -34,11 +34,6 @@ from tally.operators.latest import latest_per_key, newest
 from tally.plans.ledger import LEDGER_TIEBREAK, settled_filter
 from tally.session import checkpoint_dir
 
-LEDGER_COLUMNS = ("event_id", "transaction_id", "loan_id", "user_id", "party", "status",
-                  "method", "transaction_type", "created_at", "value_date", "effective_date",
-                  "external_post_date", "debit", "credit", "merchant_party_id")
-
-
 def _desc_nulls_first_key(cols: Sequence[str]) -> Column:
     """Struct whose ``max`` is the first row under ``c DESC NULLS FIRST, ...``."""
     parts = []

@@ -1,7 +1,6 @@
 """Latest-per-key, void anti-join, pivot and optional filters."""
 
 import datetime as dt
-import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -103,4 +102,3 @@ def test_optional_filters_skip_none(spark):
     out = optional_filters(df, [(None, lambda v: F.col("x") == v),
                                 (3, lambda v: F.col("x") > v)])
     assert out.count() == 6
-    random.seed(0)

@@ -214,23 +214,25 @@ def external_ledger_first_last(t: Tables, *, program: str, generated_at: dt.date
              .withColumnRenamed("created_at", "first_created_at"))
     updated = (latest_per_key(lender, ["transaction_id"], _newest_first(tiebreak))
                .filter(settled_filter()))
+    # Loans with their application, live loans only: the source joins the
+    # application side and the live-loan side separately on the same loan id
+    # (a primary key), which is one relation with both conditions.
     loans, apps = t["loans"], t["applications"]
     loan_apps = (apps.join(loans, apps["_id"] == loans["loan_application_id"], "inner")
-                 .filter(loans["_id"].isNotNull())
+                 .filter(loans["_id"].isNotNull() & (loans["status"] != "EXPIRED"))
                  .select(loans["_id"].alias("loan_id"),
                          apps["agent_master_id"].alias("agent_id"),
                          pg_concat(apps["first_name"], " ", apps["last_name"]).alias("applicant"),
                          apps["listing_address_line1"].alias("listing_address_line_1"),
                          apps["listing_address_line2"].alias("listing_address_line_2"),
                          apps["listing_city"], apps["listing_state"], apps["listing_zip"],
-                         apps["program"].alias("app_program")))
-    live = (loans.filter(F.col("status") != "EXPIRED")
-                 .select(F.col("_id").alias("loan_id"), F.col("slug").alias("key"),
-                         F.col("principal").alias("loan_principal"),
-                         F.col("is_ach_only").alias("is_ach")))
-    rows = (updated.join(loan_apps, "loan_id", "inner")
-                   .join(live, "loan_id", "inner")
-                   .join(first, "transaction_id", "inner")
+                         apps["program"].alias("app_program"),
+                         loans["slug"].alias("key"), loans["principal"].alias("loan_principal"),
+                         loans["is_ach_only"].alias("is_ach")))
+    # The first-version join goes first: both sides are already partitioned
+    # by transaction id (window and aggregate), so it needs no new shuffle.
+    rows = (updated.join(first, "transaction_id", "inner")
+                   .join(loan_apps, "loan_id", "inner")
                    .filter(F.col("app_program") == F.lit(program)))
     if loan_id is not None:
         rows = rows.filter(F.col("loan_id") == F.lit(loan_id))

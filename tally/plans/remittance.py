@@ -56,7 +56,7 @@ def target_loans(t: Tables, *, program: str, exclude_portfolio: str,
     return loans
 
 
-def most_recent_snapshot(t: Tables, loans: DataFrame, cutoff: dt.date,
+def most_recent_snapshot(t: Tables, loans: DataFrame | None, cutoff: dt.date,
                          tiebreak: Sequence[str] = SNAPSHOT_TIEBREAK) -> DataFrame:
     """Newest snapshot per target loan created (New York time) before ``cutoff``.
 
@@ -70,10 +70,10 @@ def most_recent_snapshot(t: Tables, loans: DataFrame, cutoff: dt.date,
     """
     snaps = t["loan_snapshots"].filter(ny_wall_before("created_at", cutoff))
     latest = latest_per_key(snaps, ["loan_id"], [newest("created_at"), *map(newest, tiebreak)])
-    ids = loans.select(F.col("_id").alias("loan_id"))
-    return (latest.join(ids, "loan_id", "left_semi")
-                  .withColumn("credit_usage_dollars",
-                              F.round(dollars("disbursed_cents_cleared", as_double=False), 2)))
+    if loans is not None:       # None: the caller joins the loans itself
+        latest = latest.join(loans.select(F.col("_id").alias("loan_id")), "loan_id", "left_semi")
+    return latest.withColumn("credit_usage_dollars",
+                             F.round(dollars("disbursed_cents_cleared", as_double=False), 2))
 
 
 def previous_investor_tape_totals(t: Tables, cutoff: dt.date) -> DataFrame:
@@ -210,7 +210,8 @@ def remittance_report(t: Tables, *, cutoff: dt.date, generated_on: dt.date, prog
     prev = previous_investor_tape_totals(t, cutoff).select(
         "loan_id", F.col("principal").alias("prev_principal"),
         F.col("refunds").alias("prev_refunds"))
-    snap = most_recent_snapshot(t, loans, cutoff).select(
+    # Left-joined to the target loans below, so no separate restriction.
+    snap = most_recent_snapshot(t, None, cutoff).select(
         "loan_id", "principal_cents", "disbursed_cents_cleared", "days_past_due",
         "credit_usage_dollars", F.lit(True).alias("has_snapshot"))
     nsf = nsf_repayments(t).select("loan_id", F.col("amount").alias("nsf_amount"))

@@ -187,6 +187,41 @@ def first_expired_authorization(t: Tables) -> DataFrame:
             .agg(F.min("authorized_at").alias("original_authorized_at")))
 
 
+def _address_flags(j: DataFrame) -> DataFrame:
+    """Both per-(user, address) facts the report looks up, from one aggregate.
+
+    ``has_reapp``: the key has a reapplying originated loan and more than one
+    originated loan, counted by the *loan's* user (the reapplications CTE).
+    ``expired_here``: originated x expired-originated loans > 1, counted by
+    the *application's* user (the expired-reapplications CTE). The two views
+    of the originated loans are stacked under one key column, so a single
+    shuffle serves both; NULL users or addresses never match a lookup.
+    """
+    orig = j.filter(F.col("origination_date").isNotNull() & F.col("address_hash").isNotNull())
+    by_loan_user = orig.select(
+        F.col("loan_user_id").alias("app_user_id"), F.col("address_hash").alias("app_addr"),
+        F.lit(1).alias("view"),
+        F.col("withdrawal_reason").like("USER_REAPPLYING%").alias("reapplying"),
+        F.lit(False).alias("expired"))
+    by_app_user = orig.select(
+        F.col("app_user_id"), F.col("address_hash").alias("app_addr"),
+        F.lit(2).alias("view"), F.lit(False).alias("reapplying"),
+        (F.col("loan_status") == "EXPIRED").alias("expired"))
+    stacked = by_loan_user.unionByName(by_app_user).filter(F.col("app_user_id").isNotNull())
+    first_view, second_view = F.col("view") == 1, F.col("view") == 2
+    agg = stacked.groupBy("app_user_id", "app_addr").agg(
+        F.count(F.when(first_view, F.lit(1))).alias("loans_1"),
+        F.max(F.when(first_view, F.col("reapplying"))).alias("any_reapplying"),
+        F.count(F.when(second_view, F.lit(1))).alias("loans_2"),
+        F.count(F.when(second_view & F.col("expired"), F.lit(1))).alias("expired_2"))
+    flags = agg.select(
+        "app_user_id", "app_addr",
+        ((F.col("loans_1") > 1) & F.coalesce(F.col("any_reapplying"), F.lit(False)))
+        .alias("has_reapp"),
+        (F.col("loans_2") * F.col("expired_2") > 1).alias("expired_here"))
+    return flags.filter(F.col("has_reapp") | F.col("expired_here"))
+
+
 REAPPLICATION_COLUMNS = (
     "user_id", "loan_application_id", "loan_id", "borrower_name", "listing_address_line1",
     "home_state", "loan_type", "current_status", "facility", "loan_amount", "billable_date",
@@ -243,19 +278,7 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
         users["_id"].alias("users_id"), "app_state",
     )
 
-    # Both (user, address) lookups in one keyed relation: one aggregate
-    # instead of two joins of the (large) loan rows.
-    reapp_keys = _reapplications(j).select(
-        F.col("user_id").alias("app_user_id"), F.col("address_hash").alias("app_addr"),
-        F.lit(True).alias("has_reapp"), F.lit(None).cast("boolean").alias("expired_here"))
-    expired = _reapplications_expired(j).select(
-        F.col("user_id").alias("app_user_id"), F.col("address_hash").alias("app_addr"))
-    flags = (reapp_keys.unionByName(expired.select(
-                 "app_user_id", "app_addr", F.lit(None).cast("boolean").alias("has_reapp"),
-                 F.lit(True).alias("expired_here")))
-             .groupBy("app_user_id", "app_addr")
-             .agg(F.max("has_reapp").alias("has_reapp"),
-                  F.max("expired_here").alias("expired_here")))
+    flags = _address_flags(j)
     firsts = first_expired_authorization(t).select(F.col("user_id"),
                                                    "original_authorized_at",
                                                    F.lit(True).alias("has_first"))
@@ -268,8 +291,9 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
         has_expired = here
         labels = F.array(F.when(billable, "Billable_loan").otherwise("FALSE"))
     else:
-        per_user = (expired.groupBy("app_user_id")
-                           .agg(F.count(F.lit(1)).alias("expired_groups")))
+        per_user = (flags.filter(F.col("expired_here"))
+                         .groupBy("app_user_id")
+                         .agg(F.count(F.lit(1)).alias("expired_groups")))
         rows = rows.join(per_user, "app_user_id", "left")
         groups = F.coalesce(F.col("expired_groups"), F.lit(0))
         has_expired = groups > 0

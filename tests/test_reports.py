@@ -235,3 +235,37 @@ def test_early_month_gross_at_least_net_when_credits_non_negative(spark):
     assert df.count() > 0
     assert df.filter("cleared_gross_disbursement_amount < cleared_net_disbursement_amount"
                      ).count() == 0
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 3), st.integers(1, 3), st.sampled_from("ab"),
+                          st.sampled_from(["EXPIRED", "ACTIVE", "REPAID", None]),
+                          st.booleans(), st.integers(1, 3),
+                          st.sampled_from(["USER_REAPPLYING_X", "USERxREAPPLYING", None])),
+                min_size=1, max_size=14))
+def test_reapplication_report_matches_literal_sql(spark, spec):
+    """App user and loan user may differ; compared with the literal SQL in DuckDB."""
+    import duckdb
+    import pandas as pd
+
+    from tally.plans.oracle import reapplication_report_sql
+    loans, apps = [], []
+    for i, (app_user, loan_user, addr, status, orig, day, reason) in enumerate(spec):
+        loans.append((i, f"L{i}", loan_user, i, status, 100 * i, None, "p", "MAIN", reason,
+                      dt.date(2020, 1, 1) if orig else None, dt.datetime(2020, 1, day), None))
+        apps.append((i, app_user, addr * 5 + str(i), "F", "L", f"{i} St", None, "c", "s", "z",
+                     "A", "TEST_AGENT_ID" if i % 4 == 0 else "A", "p", "NY", f"X{i}"))
+    users = [(u, f"U{u}", None, "NY") for u in (1, 2, 3)]
+    t = loans_tables(spark, loans, apps, users)
+    got = sorted(tuple(str(v) for v in r) for r in
+                 N.reapplication_report(t, test_agents=["TEST_AGENT_ID"],
+                                        exclude_users=[9]).collect())
+    con = duckdb.connect()
+    for name in ("loans", "applications", "users"):
+        con.register(name, t[name].toPandas())
+    res = con.execute(reapplication_report_sql("9"))
+    cols = [c[0] for c in res.description]
+    rows = [dict(zip(cols, r)) for r in res.fetchall()]
+    want = sorted(tuple(str(None if pd.isna(r[c]) else r[c]) if not isinstance(r[c], str)
+                        else r[c] for c in N.REAPPLICATION_COLUMNS) for r in rows)
+    assert got == want

@@ -237,7 +237,7 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
                          status: str | None = None, reapplication: str | None = None,
                          test_account: str | None = None, program: str | None = None,
                          user_id=None, strict_address: bool = False,
-                         materialize_shared: bool = True) -> DataFrame:
+                         materialize_shared: bool = False) -> DataFrame:
     """Reapplication and billing classification of every authorized loan.
 
     ``strict_address=False`` keeps the source's join as written: expired
@@ -247,9 +247,12 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
     is computed from per-user counts, without forming the pairs.
     ``strict_address=True`` matches both on user and address.
 
-    The loans-applications join feeds four branches; ``materialize_shared``
-    checkpoints it once to the shared checkpoint folder instead of
-    recomputing (and re-shuffling) it per branch.
+    The loans-applications join feeds two branches (the report rows and the
+    address flags, which come from one aggregate). ``materialize_shared``
+    checkpoints it once to the shared checkpoint folder instead of computing
+    it twice; that runs a job when the report is built (the plan is no longer
+    lazy), so it is off by default and pays off when the join is expensive
+    to recompute or the report is run repeatedly.
 
     Optional filters: ``state``, ``amount_min``+``amount_max`` (both or
     neither), ``start``/``end`` (inclusive, on authorization time),

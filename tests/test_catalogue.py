@@ -91,3 +91,13 @@ def test_snapshot_and_void_cutoffs_reach_the_scan(spark):
     assert "LessThan(l_shipdate,2000-01-01T05:00)" in plan
     plan = plan_text(QUERIES["loan_snapshots_current"](spark, SF_SMALL))
     assert "LessThanOrEqual(l_shipdate,2000-01-01T05:00)" in plan
+
+
+def test_materialised_shared_join_gives_same_report(spark):
+    from tally.plans import loans as N
+    from tally.sources.fixtures import EXCLUDE_USERS, TEST_AGENTS, fixture_tables
+    t = fixture_tables(spark, SF_SMALL)
+    lazy = N.reapplication_report(t, test_agents=TEST_AGENTS, exclude_users=EXCLUDE_USERS)
+    kept = N.reapplication_report(t, test_agents=TEST_AGENTS, exclude_users=EXCLUDE_USERS,
+                                  materialize_shared=True)
+    assert sorted(map(tuple, lazy.collect())) == sorted(map(tuple, kept.collect()))

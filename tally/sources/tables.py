@@ -56,15 +56,32 @@ _DDL = {
 SCHEMAS: dict[str, str] = dict(_DDL)
 
 
+class TableFolder(dict):
+    """``name -> DataFrame`` over ``root/<name>``, each read on first use.
+
+    A report touches only the tables it needs, so a folder may hold just
+    those; each table is read (and its files listed) once.
+    """
+
+    def __init__(self, spark: SparkSession, root: str,
+                 schemas: Mapping[str, StructType | str], fmt: str,
+                 names: Iterable[str] | None = None):
+        super().__init__()
+        self._spark, self._root, self._schemas, self._fmt = spark, root.rstrip("/"), schemas, fmt
+        self._names = set(names) if names is not None else None
+
+    def __missing__(self, name: str) -> DataFrame:
+        if self._names is not None and name not in self._names:
+            raise KeyError(name)
+        reader = self._spark.read.format(self._fmt)
+        if name in self._schemas:
+            reader = reader.schema(self._schemas[name])
+        df = self[name] = reader.load(f"{self._root}/{name}")
+        return df
+
+
 def read_tables(spark: SparkSession, root: str, names: Iterable[str] | None = None,
                 schemas: Mapping[str, StructType | str] | None = None,
-                fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Read ``root/<name>`` (any Spark file format) for each table name."""
-    schemas = SCHEMAS if schemas is None else schemas
-    out = {}
-    for name in names or _DDL:
-        reader = spark.read.format(fmt)
-        if name in schemas:
-            reader = reader.schema(schemas[name])
-        out[name] = reader.load(f"{root.rstrip('/')}/{name}")
-    return out
+                fmt: str = "parquet") -> TableFolder:
+    """Tables under ``root/<name>`` (any Spark file format), read lazily by name."""
+    return TableFolder(spark, root, SCHEMAS if schemas is None else schemas, fmt, names)

@@ -14,10 +14,11 @@ def test_read_tables_uses_declared_schemas(spark):
     for name, ddl in SCHEMAS.items():
         spark.createDataFrame([], ddl).write.parquet(os.path.join(root, name))
     tables = read_tables(spark, root)
-    assert set(tables) == set(SCHEMAS)
-    for name, df in tables.items():
+    for name in SCHEMAS:
+        df = tables[name]
         assert df.schema == spark.createDataFrame([], SCHEMAS[name]).schema
         assert df.count() == 0
+    assert set(tables) == set(SCHEMAS)
 
 
 def test_activity_views_are_queryable(spark):

@@ -257,7 +257,7 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
     Optional filters: ``state``, ``amount_min``+``amount_max`` (both or
     neither), ``start``/``end`` (inclusive, on authorization time),
     ``status``, ``reapplication`` (result label), ``test_account``
-    ('true'/'false'), ``program``, ``user_id``.
+    ('true'/'false'), ``program``, ``user_id`` (one id, or a list of ids).
     """
     users = t["users"]
     j = application_loans(t)
@@ -335,7 +335,9 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
         (reapplication, lambda v: F.col("reapplication_results").cast("string") == F.lit(v)),
         (test_account, lambda v: F.col("test_account").cast("string") == F.lit(v)),
         (program, lambda v: F.col("program").cast("string") == F.lit(v)),
-        (user_id, lambda v: F.col("users_id") == F.lit(v)),
+        (user_id, lambda v: (F.col("users_id").isin(list(v))
+                             if isinstance(v, (list, tuple, set, frozenset))
+                             else F.col("users_id") == F.lit(v))),
     ])
     if exclude_users:
         rows = rows.filter(~F.col("users_id").isin(list(exclude_users)))

@@ -155,6 +155,7 @@ def test_report_optional_filters(spark):
     assert N.reapplication_report(t, amount_min=1500, amount_max=2500).count() == 1
     assert N.reapplication_report(t, user_id=1).count() == 2
     assert N.reapplication_report(t, user_id=9).count() == 0
+    assert N.reapplication_report(t, user_id=[9, 1]).count() == 2
     assert N.reapplication_report(t, exclude_users=[1]).count() == 0
     assert N.reapplication_report(t, test_account="false").count() == 2
 

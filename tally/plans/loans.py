@@ -194,20 +194,25 @@ def _address_flags(j: DataFrame) -> DataFrame:
     originated loan, counted by the *loan's* user (the reapplications CTE).
     ``expired_here``: originated x expired-originated loans > 1, counted by
     the *application's* user (the expired-reapplications CTE). The two views
-    of the originated loans are stacked under one key column, so a single
-    shuffle serves both; NULL users or addresses never match a lookup.
+    of the originated loans are stacked under one key column (two rows per
+    loan from one pass), so a single shuffle serves both; NULL users or
+    addresses never match a lookup.
     """
     orig = j.filter(F.col("origination_date").isNotNull() & F.col("address_hash").isNotNull())
-    by_loan_user = orig.select(
-        F.col("loan_user_id").alias("app_user_id"), F.col("address_hash").alias("app_addr"),
-        F.lit(1).alias("view"),
-        F.col("withdrawal_reason").like("USER_REAPPLYING%").alias("reapplying"),
-        F.lit(False).alias("expired"))
-    by_app_user = orig.select(
-        F.col("app_user_id"), F.col("address_hash").alias("app_addr"),
-        F.lit(2).alias("view"), F.lit(False).alias("reapplying"),
-        (F.col("loan_status") == "EXPIRED").alias("expired"))
-    stacked = by_loan_user.unionByName(by_app_user).filter(F.col("app_user_id").isNotNull())
+    # Each originated loan once under its loan's user (view 1) and once under
+    # its application's user (view 2), from a single pass over the join.
+    views = F.array(
+        F.struct(F.col("loan_user_id").alias("user"), F.lit(1).alias("view"),
+                 F.col("withdrawal_reason").like("USER_REAPPLYING%").alias("reapplying"),
+                 F.lit(False).alias("expired")),
+        F.struct(F.col("app_user_id").alias("user"), F.lit(2).alias("view"),
+                 F.lit(False).alias("reapplying"),
+                 (F.col("loan_status") == "EXPIRED").alias("expired")))
+    stacked = (orig.select(F.col("address_hash").alias("app_addr"),
+                           F.explode(views).alias("v"))
+                   .select(F.col("v.user").alias("app_user_id"), "app_addr", "v.view",
+                           "v.reapplying", "v.expired")
+                   .filter(F.col("app_user_id").isNotNull()))
     first_view, second_view = F.col("view") == 1, F.col("view") == 2
     agg = stacked.groupBy("app_user_id", "app_addr").agg(
         F.count(F.when(first_view, F.lit(1))).alias("loans_1"),

@@ -56,22 +56,36 @@ def target_loans(t: Tables, *, program: str, exclude_portfolio: str,
     return loans
 
 
+# Size bound for broadcasting the target loan ids (one small column).
+TARGET_BROADCAST_ROWS = 2_000_000
+
+
 def most_recent_snapshot(t: Tables, loans: DataFrame | None, cutoff: dt.date,
-                         tiebreak: Sequence[str] = SNAPSHOT_TIEBREAK) -> DataFrame:
+                         tiebreak: Sequence[str] = SNAPSHOT_TIEBREAK,
+                         broadcast_rows: int = TARGET_BROADCAST_ROWS) -> DataFrame:
     """Newest snapshot per target loan created (New York time) before ``cutoff``.
 
-    The newest row per loan is picked first and the target loans are applied
-    after (a semi-join on one row per loan). The pick's partial limit runs
-    before its shuffle, so a loan with a third of all snapshots costs one row
-    per input split; restricting first would shuffle every snapshot of that
-    loan into one join task whenever the target set is too large to
-    broadcast. The result is the same, since the restriction keeps or drops
-    whole loans.
+    When the target loans are counted at no more than ``broadcast_rows``,
+    their ids are broadcast and the snapshots are restricted *before* the
+    per-loan pick (a map-side semi-join, no shuffle), so only the target
+    loans' snapshots are sorted. Beyond that bound the pick runs first (its
+    partial limit runs before its shuffle, so a loan with a third of all
+    snapshots costs one row per input split) and the restriction follows as
+    a semi-join on one row per loan. Both give the same rows, since the
+    restriction keeps or drops whole loans. ``loans=None``: no restriction
+    (the caller joins the loans itself).
     """
     snaps = t["loan_snapshots"].filter(ny_wall_before("created_at", cutoff))
-    latest = latest_per_key(snaps, ["loan_id"], [newest("created_at"), *map(newest, tiebreak)])
-    if loans is not None:       # None: the caller joins the loans itself
-        latest = latest.join(loans.select(F.col("_id").alias("loan_id")), "loan_id", "left_semi")
+    order = [newest("created_at"), *map(newest, tiebreak)]
+    if loans is None:
+        latest = latest_per_key(snaps, ["loan_id"], order)
+    else:
+        ids = loans.select(F.col("_id").alias("loan_id"))
+        if ids.count() <= broadcast_rows:
+            snaps = snaps.join(F.broadcast(ids), "loan_id", "left_semi")
+            latest = latest_per_key(snaps, ["loan_id"], order)
+        else:
+            latest = latest_per_key(snaps, ["loan_id"], order).join(ids, "loan_id", "left_semi")
     return latest.withColumn("credit_usage_dollars",
                              F.round(dollars("disbursed_cents_cleared", as_double=False), 2))
 
@@ -210,8 +224,7 @@ def remittance_report(t: Tables, *, cutoff: dt.date, generated_on: dt.date, prog
     prev = previous_investor_tape_totals(t, cutoff).select(
         "loan_id", F.col("principal").alias("prev_principal"),
         F.col("refunds").alias("prev_refunds"))
-    # Left-joined to the target loans below, so no separate restriction.
-    snap = most_recent_snapshot(t, None, cutoff).select(
+    snap = most_recent_snapshot(t, loans, cutoff).select(
         "loan_id", "principal_cents", "disbursed_cents_cleared", "days_past_due",
         "credit_usage_dollars", F.lit(True).alias("has_snapshot"))
     nsf = nsf_repayments(t).select("loan_id", F.col("amount").alias("nsf_amount"))

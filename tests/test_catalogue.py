@@ -101,3 +101,16 @@ def test_materialised_shared_join_gives_same_report(spark):
     kept = N.reapplication_report(t, test_agents=TEST_AGENTS, exclude_users=EXCLUDE_USERS,
                                   materialize_shared=True)
     assert sorted(map(tuple, lazy.collect())) == sorted(map(tuple, kept.collect()))
+
+
+def test_snapshot_restriction_same_on_both_sides_of_the_size_check(spark):
+    import datetime as dt
+
+    from tally.plans import remittance as R
+    from tally.sources.fixtures import HOME_PROGRAM, TEST_PORTFOLIO, fixture_tables
+    t = fixture_tables(spark, SF_SMALL)
+    loans = R.target_loans(t, program=HOME_PROGRAM, exclude_portfolio=TEST_PORTFOLIO)
+    small = R.most_recent_snapshot(t, loans, dt.date(2000, 1, 1))
+    large = R.most_recent_snapshot(t, loans, dt.date(2000, 1, 1), broadcast_rows=0)
+    assert "BroadcastExchange" in plan_text(small)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))

@@ -3,7 +3,7 @@
 Runs every catalogue query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
 with ``local[$BENCH_CPUS]`` and prints one JSON line. Each query is executed
 in full through the ``noop`` sink (all rows produced, nothing collected to
-the driver); one warm-up pass, then the median of ``$BENCH_RUNS`` timed runs.
+the driver); one warm-up pass, then the median of ``$BENCH_RUNS`` (default 5) timed runs.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ def _driver_memory() -> str:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4)))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from tally.plans.catalogue import QUERIES

@@ -270,3 +270,45 @@ def test_reapplication_report_matches_literal_sql(spark, spec):
     want = sorted(tuple(str(None if pd.isna(r[c]) else r[c]) if not isinstance(r[c], str)
                         else r[c] for c in N.REAPPLICATION_COLUMNS) for r in rows)
     assert got == want
+
+
+def test_first_last_optional_filters(spark):
+    from conftest import SF_SMALL
+    from tally.sources.fixtures import AGENT_PROGRAM, fixture_tables
+    t = fixture_tables(spark, SF_SMALL)
+    gen = dt.datetime(2024, 1, 20, 12, 5)
+    full = L.external_ledger_first_last(t, program=AGENT_PROGRAM, generated_at=gen)
+    n = full.count()
+    early = L.external_ledger_first_last(t, program=AGENT_PROGRAM, generated_at=gen,
+                                         end_date=dt.datetime(2024, 1, 10))
+    assert 0 < early.count() < n
+    some_key = full.select("key").first()[0]
+    one = L.external_ledger_first_last(t, program=AGENT_PROGRAM, generated_at=gen,
+                                       loan_id=int(some_key[1:]))
+    assert {r.key for r in one.collect()} == {some_key}
+
+
+def test_remittance_slug_filter(spark):
+    from conftest import SF_MID
+    from tally.plans import remittance as R
+    from tally.plans.catalogue import (BASE_URL, CUTOFF, GENERATED_ON, SERVICING_FEE_ACCOUNT)
+    from tally.sources.fixtures import HOME_PROGRAM, TEST_PORTFOLIO, fixture_tables
+    t = fixture_tables(spark, SF_MID)
+    args = dict(cutoff=CUTOFF, generated_on=GENERATED_ON, program=HOME_PROGRAM,
+                exclude_portfolio=TEST_PORTFOLIO, base_url=BASE_URL,
+                servicing_fee_account=SERVICING_FEE_ACCOUNT)
+    slug = R.remittance_report(t, **args).select("loan_id").first()[0]
+    one = R.remittance_report(t, slug=slug, **args).collect()
+    assert one and {r.loan_id for r in one} == {slug}
+
+
+def test_merchant_spend_default_brands(spark):
+    rows = [ledger_row(i, i, "cleared", "card", 1, debit=1000 + i) for i in range(6)]
+    names = ["The Home Depot #12", "AMZN Mktp US", "Lowe's 123", "PODS MOVING", "PODS",
+             None]
+    party = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "_id bigint, name string")
+    t = {"ledger": ledger_df(spark, rows), "transaction_party": party}
+    got = {r.acceptor: (r.transactions, r.total_amount) for r in
+           L.merchant_spend(t, dt.date(2024, 2, 1)).collect()}
+    assert got == {"HOMEDEPOT": (1, 10.0), "AMAZON": (1, 10.01), "LOWES": (1, 10.02),
+                   "PODS": (2, 20.07), None: (1, 10.05)}

@@ -20,7 +20,7 @@ REQUIRED_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# Execution defaults; a cluster's own values win when already set.
+# Execution defaults; a cluster's own values win when already set (see build_session).
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -37,17 +37,28 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # Remove checkpoint files once their DataFrame is no longer referenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Streaming state (one row per ledger transaction) off the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
 def build_session(master: str | None = None, app_name: str = "tally",
                   shuffle_partitions: int | None = None,
                   extra_conf: dict[str, str] | None = None) -> SparkSession:
-    """Create (or fetch) a session configured for the reports."""
+    """Create (or fetch) a session configured for the reports.
+
+    ``DEFAULT_CONF`` values apply only where the cluster (spark-defaults,
+    ``--conf``) has not set the key; ``extra_conf`` and ``shuffle_partitions``
+    are explicit and always apply; ``REQUIRED_CONF`` always applies.
+    """
+    from pyspark import SparkConf
+
+    cluster = SparkConf()          # spark-defaults and submit-time settings
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    conf = {k: v for k, v in DEFAULT_CONF.items() if not cluster.contains(k)}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

@@ -2,7 +2,9 @@
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame whose columns
 match the oracle SQL of the same name (``tally.plans.oracle``). Money is
-output as double, intervals as microseconds, so both engines hash alike.
+output as double, intervals as microseconds, and (``PORTABLE``) dates as ISO
+text and NULL-able integers as double, so both engines compare alike whether
+results are read as Python objects, pandas frames or Arrow.
 Parameters are fixed so that results are reproducible (no wall clock).
 """
 
@@ -179,7 +181,32 @@ def remittance_report(spark, sf_dir):
                                base_url=BASE_URL, servicing_fee_account=SERVICING_FEE_ACCOUNT)
 
 
-QUERIES: dict[str, Query] = {
+# Columns re-typed on both sides so that every comparison path (Python
+# objects, pandas, Arrow) sees the same values: dates as ISO text (pandas
+# would turn DuckDB dates into timestamps) and integer columns that hold
+# NULLs as double (pandas turns Spark's into float, DuckDB's into Int64).
+PORTABLE: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "ledger_current_versions": (("effective_date",), ("debit",)),
+    "acceleration_events": (("created_at",), ()),
+    "upsizes": (("lpa_created_at",), ("time_to_upsize_micros",)),
+    "nsf_repayments": (("effective_date",), ()),
+    "remittance_report": (("repaid_date",), ("days_past_due",)),
+}
+
+
+def _portable(name: str, fn: Query) -> Query:
+    text, double = PORTABLE[name]
+
+    def run(spark, sf_dir):
+        df = fn(spark, sf_dir)
+        return df.select(*[F.col(c).cast("string").alias(c) if c in text
+                           else F.col(c).cast("double").alias(c) if c in double
+                           else F.col(c) for c in df.columns])
+    run.__name__ = fn.__name__
+    return run
+
+
+_RAW_QUERIES: dict[str, Query] = {
     "ledger_current_versions": ledger_current_versions,
     "ledger_first_versions": ledger_first_versions,
     "ledger_unvoided_latest": ledger_unvoided_latest,
@@ -209,3 +236,6 @@ QUERIES: dict[str, Query] = {
     "investor_refunds": investor_refunds,
     "remittance_report": remittance_report,
 }
+
+QUERIES: dict[str, Query] = {name: (_portable(name, fn) if name in PORTABLE else fn)
+                             for name, fn in _RAW_QUERIES.items()}

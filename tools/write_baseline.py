@@ -29,7 +29,7 @@ object aggregation) on DuckDB, in process, same data and scale.
 ## Ours
 
 `bench.py`: sf0.1 (600k lineitem, 150k orders, 100k events), `local[N]`,
-8 GB driver, Python 3.13, PySpark 4.1.2, AQE on, warm, median of 3 runs,
+8 GB driver, Python 3.13, PySpark 4.1.2, AQE on, warm, median of 5 runs,
 each query executed in full into the `noop` sink (nothing collected).
 """
 

@@ -250,7 +250,9 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
     first-expired join. A loan then yields one row per billing label its
     user's address groups produce ('Billable_loan' and/or 'FALSE'); that set
     is computed from per-user counts, without forming the pairs.
-    ``strict_address=True`` matches both on user and address.
+    ``strict_address=True`` is the presumably intended form: the address
+    test moves to the expired-reapplications join (user and address) and the
+    first-expired join is on the user only, one row per loan.
 
     The loans-applications join feeds two branches (the report rows and the
     address flags, which come from one aggregate). ``materialize_shared``

@@ -284,5 +284,14 @@ class FixtureTables(dict):
         return build_view(self._spark, self._sf_dir, name, self)
 
 
+_TABLES: dict[tuple[int, str], FixtureTables] = {}
+
+
 def fixture_tables(spark: SparkSession, sf_dir: str) -> FixtureTables:
-    return FixtureTables(spark, sf_dir)
+    """The derived tables of one folder; one (lazy) mapping per session and folder,
+    so repeated reports reuse the built DataFrames instead of re-deriving them."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    tables = _TABLES.get(key)
+    if tables is None or tables._spark is not spark:
+        tables = _TABLES[key] = FixtureTables(spark, sf_dir)
+    return tables

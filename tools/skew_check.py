@@ -22,6 +22,9 @@ import tempfile
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 HOT = ("case when event_id % 3 = 0 then 0 else user_id * 10 + event_id % 10 + 1 end")
+# A hot loan: another third of the rows, spread over many distinct transactions.
+HOT_LOAN = ("case when event_id % 3 = 1 then 0 else user_id * 10 + event_id % 10 + 1 end")
+HOT_LOAN_TXN = ("case when event_id % 3 = 0 then 0 else event_id end")
 
 
 def main() -> None:
@@ -42,7 +45,13 @@ def main() -> None:
         "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
         # Keep all shuffle partitions so the per-task spread is visible.
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.autoBroadcastJoinThreshold": "-1"})
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        # AQE splits a join partition once it is 5x the median and over
+        # 256 MB (defaults); lowered to 2x / 16 KB so the test size shows it.
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"})
     spark.sparkContext.setLogLevel("ERROR")
 
     exprs = dict(VIEWS["ledger"].columns)
@@ -67,6 +76,18 @@ def main() -> None:
                                            F.lit("SHOP").alias("name"))
     checks["merchant_spend"] = L.merchant_spend({**t, "transaction_party": party},
                                                 dt.date(2024, 1, 20), brands=()).count() == 1
+    spark.sparkContext.setJobDescription("external_ledger")
+    from tally.sources.fixtures import fixture_tables
+    fx = fixture_tables(spark, args.sf_dir)
+    hot_program = fx["loans"].filter("_id = 0").select("program").first()[0]
+    by_loan = dict(exprs, transaction_id=HOT_LOAN_TXN, loan_id=HOT_LOAN)
+    loan_ledger = events.select(*[F.expr(e).alias(c) for c, e in by_loan.items()])
+    n_hot_loan = loan_ledger.filter("loan_id = 0").count()
+    report = L.external_ledger({"ledger": loan_ledger, "loans": fx["loans"],
+                                "applications": fx["applications"]},
+                               program=hot_program, generated_at=dt.datetime(2024, 1, 20))
+    report.write.format("noop").mode("overwrite").save()
+    checks["external_ledger"] = True
     spark.sparkContext.setJobDescription("done")
     spark.stop()
 
@@ -85,7 +106,8 @@ def main() -> None:
                 s = e["Stage ID"]
                 reads.setdefault(s, []).append(recs)
     print(f"ledger rows {n_rows}, hot transaction rows {n_hot} "
-          f"({n_hot / n_rows:.0%}), input splits {args.splits}")
+          f"({n_hot / n_rows:.0%}), input splits {args.splits}; external_ledger: hot loan "
+          f"rows {n_hot_loan} ({n_hot_loan / n_rows:.0%}) over distinct transactions")
     for s in sorted(reads):
         desc = stage_job.get(s)
         if desc in (None, "done"):

@@ -83,10 +83,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when the setting is absent (local tests) is a scratch folder created
     and registered; on a cluster the configured shared folder is always used.
     """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:                       # already set on the context (by conf or code)
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
     local = tempfile.mkdtemp(prefix="tally-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

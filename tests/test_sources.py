@@ -29,3 +29,12 @@ def test_activity_views_are_queryable(spark):
     n = spark.sql("SELECT count(*) FROM temp_loan_snapshots "
                   "WHERE date_added_to_collections IS NOT NULL").collect()[0][0]
     assert n > 0
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from tally.session import checkpoint_dir
+    path = checkpoint_dir(spark)
+    assert path and spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:      # the cluster's shared folder wins over any local default
+        assert configured.rstrip("/").split(":")[-1] in path

@@ -18,12 +18,14 @@ from tally.functions.money import clamp0, dollars
 from tally.functions.text import brand_key, pg_concat
 from tally.functions.time import (
     ny_date_between,
+    ny_midnight_utc,
     ntz_lit,
     pg_to_char,
     report_timestamp_text,
     to_ny_wall,
 )
 from tally.operators.latest import first_value_per_key, latest_per_key, newest, oldest
+from tally.operators.partitions import prune_months
 from tally.operators.voids import void_cutoffs, without_earlier_than
 
 Tables = Mapping[str, DataFrame]
@@ -269,7 +271,10 @@ def early_month_cleared_totals(t: Tables, as_of: dt.date,
     start = as_of.replace(day=1)
     end = start + dt.timedelta(days=14)
     lender = lender_rows(t)
-    # New York days start..end as exact UTC bounds, evaluated in the scan.
+    # New York days start..end as exact UTC bounds, evaluated in the scan; on
+    # a month-partitioned ledger only the months they touch are read.
+    lender = prune_months(lender, "created_at", ny_midnight_utc(start),
+                          ny_midnight_utc(end + dt.timedelta(days=1)))
     window = (lender.filter(F.col("status") == "cleared")
               .filter(ny_date_between("created_at", start, end)))
     cleared = latest_per_key(window, ["transaction_id"], _newest_first(tiebreak))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tally.functions.text import addr5, pg_concat
 from tally.functions.time import (
     ny_date,
+    ny_midnight_utc,
     ny_wall_before,
     ntz_lit,
     pg_to_char,
@@ -19,6 +20,7 @@ from tally.functions.time import (
 from tally.operators.latest import latest_per_key, newest, oldest
 from tally.operators.materialize import materialize
 from tally.operators.optional import optional_filters
+from tally.operators.partitions import prune_months
 
 Tables = Mapping[str, DataFrame]
 
@@ -72,7 +74,7 @@ def _snapshots_as_of(t: Tables, as_of: dt.date, tiebreak: Sequence[str]) -> Data
     The source keeps an arbitrary row per loan; this keeps the newest, ties
     broken by ``tiebreak``.
     """
-    s = t["loan_snapshots"]
+    s = prune_months(t["loan_snapshots"], "created_at", hi=ny_midnight_utc(as_of))
     rows = s.filter(ny_wall_before("created_at", as_of, inclusive=True))
     return latest_per_key(rows, ["loan_id"], [newest("created_at"), *map(newest, tiebreak)])
 

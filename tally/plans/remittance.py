@@ -17,8 +17,9 @@ from pyspark.sql.types import IntegralType
 
 from tally.functions.money import dollars
 from tally.functions.text import pg_concat
-from tally.functions.time import ny_wall_before, pg_to_char
+from tally.functions.time import ny_midnight_utc, ny_wall_before, pg_to_char
 from tally.operators.latest import latest_per_key, newest
+from tally.operators.partitions import prune_months
 from tally.operators.pivot import pivot_sums
 
 Tables = Mapping[str, DataFrame]
@@ -75,7 +76,8 @@ def most_recent_snapshot(t: Tables, loans: DataFrame | None, cutoff: dt.date,
     restriction keeps or drops whole loans. ``loans=None``: no restriction
     (the caller joins the loans itself).
     """
-    snaps = t["loan_snapshots"].filter(ny_wall_before("created_at", cutoff))
+    snaps = (prune_months(t["loan_snapshots"], "created_at", hi=ny_midnight_utc(cutoff))
+             .filter(ny_wall_before("created_at", cutoff)))
     order = [newest("created_at"), *map(newest, tiebreak)]
     if loans is None:
         latest = latest_per_key(snaps, ["loan_id"], order)

@@ -38,3 +38,28 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:      # the cluster's shared folder wins over any local default
         assert configured.rstrip("/").split(":")[-1] in path
+
+
+def test_month_partitions_prune_and_keep_results(spark):
+    import datetime as dt
+
+    from tally.operators.partitions import write_by_month
+    from tally.plans import ledger as L
+    from tally.plans import loans as N
+    root = tempfile.mkdtemp(prefix="tally-months-")
+    t = fixture_tables(spark, SF_SMALL)
+    write_by_month(t["ledger"], os.path.join(root, "ledger"))
+    write_by_month(t["loan_snapshots"], os.path.join(root, "loan_snapshots"))
+    parted = read_tables(spark, root, schemas={})
+    assert "created_at_month" in parted["ledger"].columns
+    as_of = dt.date(2024, 1, 20)
+    got = L.early_month_cleared_totals(parted, as_of)
+    want = L.early_month_cleared_totals(t, as_of)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(created_at_month" in plan
+    snaps = N.loan_snapshots_current(parted, dt.date(1997, 1, 1))
+    assert sorted(map(tuple, snaps.collect())) == \
+        sorted(map(tuple, N.loan_snapshots_current(t, dt.date(1997, 1, 1)).collect()))
+    assert "PartitionFilters: [isnotnull(created_at_month" in \
+        snaps._jdf.queryExecution().executedPlan().toString()

@@ -83,7 +83,8 @@ def most_recent_snapshot(t: Tables, loans: DataFrame | None, cutoff: dt.date,
         latest = latest_per_key(snaps, ["loan_id"], order)
     else:
         ids = loans.select(F.col("_id").alias("loan_id"))
-        if ids.count() <= broadcast_rows:
+        # The check reads at most broadcast_rows + 1 ids, however many exist.
+        if ids.limit(broadcast_rows + 1).count() <= broadcast_rows:
             snaps = snaps.join(F.broadcast(ids), "loan_id", "left_semi")
             latest = latest_per_key(snaps, ["loan_id"], order)
         else:

@@ -55,3 +55,15 @@ def first_value_per_key(df: DataFrame, keys: Sequence[str], ts: str,
     else:
         value = F.when(F.count(F.lit(1)) == F.count(c), F.max(c))
     return df.groupBy(*keys).agg(value.alias(alias or ts))
+
+
+def tiebreak_columns(df: DataFrame, preferred: Sequence[str],
+                     exclude: Sequence[str] = ()) -> list[str]:
+    """Columns that finish an ordering deterministically.
+
+    The preferred (unique) columns when the table has them all; otherwise
+    every other column, by name, so only fully identical rows still tie.
+    """
+    if all(c in df.columns for c in preferred):
+        return list(preferred)
+    return sorted(c for c in df.columns if c not in set(exclude))

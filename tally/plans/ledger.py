@@ -24,7 +24,13 @@ from tally.functions.time import (
     report_timestamp_text,
     to_ny_wall,
 )
-from tally.operators.latest import first_value_per_key, latest_per_key, newest, oldest
+from tally.operators.latest import (
+    first_value_per_key,
+    latest_per_key,
+    newest,
+    oldest,
+    tiebreak_columns,
+)
 from tally.operators.partitions import prune_months
 from tally.operators.voids import void_cutoffs, without_earlier_than
 
@@ -48,8 +54,12 @@ BRANDS: tuple[tuple[str, tuple[str, ...]], ...] = (
 
 DATE_RULES = ("created_local", "effective", "effective_only")
 
-def _newest_first(tiebreak: Sequence[str], ts: str = "created_at") -> list[Column]:
-    return [newest(ts), *[newest(c) for c in tiebreak]]
+def _newest_first(df: DataFrame, tiebreak: Sequence[str],
+                  ts: str = "created_at") -> list[Column]:
+    """Postgres ``ts DESC`` then the tie-break (or, if the table lacks those
+    columns, every other column) so the pick is deterministic."""
+    cols = tiebreak_columns(df, tiebreak, exclude=["transaction_id", ts])
+    return [newest(ts), *[newest(c) for c in cols]]
 
 
 def lender_rows(t: Tables, party: str = "lender") -> DataFrame:
@@ -95,7 +105,7 @@ def cleared_versions(t: Tables, date_rule: str = "created_local",
     else:
         rows = lender.filter(settled_filter())
         cutoffs = void_cutoffs(voids, "transaction_id", "created_at", latest=True)
-    current = latest_per_key(rows, ["transaction_id"], _newest_first(tiebreak))
+    current = latest_per_key(rows, ["transaction_id"], _newest_first(rows, tiebreak))
     return without_earlier_than(current, cutoffs, "transaction_id", "created_at")
 
 
@@ -105,7 +115,8 @@ def latest_then_filter(t: Tables, tiebreak: Sequence[str] = LEDGER_TIEBREAK) ->
     The opposite order to ``cleared_versions``: a transaction whose newest
     row is voided disappears even if an older row was cleared.
     """
-    current = latest_per_key(lender_rows(t), ["transaction_id"], _newest_first(tiebreak))
+    lender = lender_rows(t)
+    current = latest_per_key(lender, ["transaction_id"], _newest_first(lender, tiebreak))
     return current.filter(settled_filter())
 
 
@@ -118,7 +129,7 @@ def ledger_current_versions(t: Tables, transaction_ids: Sequence | None = None,
         rows = rows.filter(F.col("transaction_id").isin(list(transaction_ids)))
     if loan_ids is not None:
         rows = rows.filter(F.col("loan_id").isin(list(loan_ids)))
-    return latest_per_key(rows, ["transaction_id"], _newest_first(tiebreak))
+    return latest_per_key(rows, ["transaction_id"], _newest_first(rows, tiebreak))
 
 
 def ledger_first_versions(t: Tables, party: str = "lender") -> DataFrame:
@@ -214,7 +225,7 @@ def external_ledger_first_last(t: Tables, *, program: str, generated_at: dt.date
     first = (first_value_per_key(lender.select("transaction_id", "created_at"),
                                  ["transaction_id"], "created_at", earliest=True)
              .withColumnRenamed("created_at", "first_created_at"))
-    updated = (latest_per_key(lender, ["transaction_id"], _newest_first(tiebreak))
+    updated = (latest_per_key(lender, ["transaction_id"], _newest_first(lender, tiebreak))
                .filter(settled_filter()))
     # Loans with their application, live loans only: the source joins the
     # application side and the live-loan side separately on the same loan id
@@ -277,7 +288,7 @@ def early_month_cleared_totals(t: Tables, as_of: dt.date,
                           ny_midnight_utc(end + dt.timedelta(days=1)))
     window = (lender.filter(F.col("status") == "cleared")
               .filter(ny_date_between("created_at", start, end)))
-    cleared = latest_per_key(window, ["transaction_id"], _newest_first(tiebreak))
+    cleared = latest_per_key(window, ["transaction_id"], _newest_first(window, tiebreak))
     is_cleared = F.col("status") == "cleared"
     disb = is_cleared & (F.col("transaction_type") == "disbursement")
     repay = is_cleared & (F.col("transaction_type") == "repayment")
@@ -314,7 +325,8 @@ def merchant_spend(t: Tables, as_of: dt.date,
     """
     card = (lender_rows(t)
             .filter((F.col("transaction_type") == "disbursement") & (F.col("method") == "card")))
-    current = latest_per_key(card, ["transaction_id"], _newest_first(tiebreak, "value_date"))
+    current = latest_per_key(card, ["transaction_id"],
+                             _newest_first(card, tiebreak, "value_date"))
     txn = (current.filter(F.col("status") != "voided")
                   .filter(F.col("value_date") < ntz_lit(as_of))
                   .select("merchant_party_id",

@@ -18,7 +18,7 @@ from pyspark.sql.types import IntegralType
 from tally.functions.money import dollars
 from tally.functions.text import pg_concat
 from tally.functions.time import ny_midnight_utc, ny_wall_before, pg_to_char
-from tally.operators.latest import latest_per_key, newest
+from tally.operators.latest import latest_per_key, newest, tiebreak_columns
 from tally.operators.partitions import prune_months
 from tally.operators.pivot import pivot_sums
 
@@ -78,7 +78,8 @@ def most_recent_snapshot(t: Tables, loans: DataFrame | None, cutoff: dt.date,
     """
     snaps = (prune_months(t["loan_snapshots"], "created_at", hi=ny_midnight_utc(cutoff))
              .filter(ny_wall_before("created_at", cutoff)))
-    order = [newest("created_at"), *map(newest, tiebreak)]
+    cols = tiebreak_columns(snaps, tiebreak, exclude=["loan_id", "created_at"])
+    order = [newest("created_at"), *map(newest, cols)]
     if loans is None:
         latest = latest_per_key(snaps, ["loan_id"], order)
     else:
@@ -123,8 +124,9 @@ def new_purchasable(t: Tables, *, cutoff: dt.date, program: str, exclude_portfol
 
 def nsf_repayments(t: Tables, tiebreak: Sequence[str] = STATUS_TIEBREAK) -> DataFrame:
     """Failed payments whose latest bank status reports insufficient funds."""
-    statuses = latest_per_key(t["payment_statuses"], ["payment_slug"],
-                              [newest("created_at"), *map(newest, tiebreak)])
+    raw = t["payment_statuses"]
+    cols = tiebreak_columns(raw, tiebreak, exclude=["payment_slug", "created_at"])
+    statuses = latest_per_key(raw, ["payment_slug"], [newest("created_at"), *map(newest, cols)])
     bank = statuses.select(
         F.get_json_object("payload", "$.transactionStatus").alias("bank_status"),
         F.get_json_object("payload", "$.exceptions").alias("bank_exceptions"),

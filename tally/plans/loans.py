@@ -295,8 +295,10 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
     firsts = first_expired_authorization(t).select(F.col("user_id"),
                                                    "original_authorized_at",
                                                    F.lit(True).alias("has_first"))
-    rows = (base.join(flags, ["app_user_id", "app_addr"], "left")
-                .join(firsts, "user_id", "left"))
+    # The users join left the rows partitioned by the loan's user, the key of
+    # the first-expired join, so that join comes first (no re-shuffle).
+    rows = (base.join(firsts, "user_id", "left")
+                .join(flags, ["app_user_id", "app_addr"], "left"))
     billable = (F.coalesce(F.col("has_first"), F.lit(False))
                 & (F.col("billable_date") == F.col("original_authorized_at")))
     here = F.coalesce(F.col("expired_here"), F.lit(False))

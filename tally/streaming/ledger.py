@@ -14,10 +14,13 @@ the transactions it contains. It computes exactly what the batch
   can turn a transaction off, so the state is emitted in update mode with the
   flag instead of being filtered.
 
-State is one row per transaction; use the RocksDB state store provider for a
-large ledger. ``write_changes`` is an idempotent ``foreachBatch`` sink (one
-folder per batch id, overwritten on replay) and ``current_from_changes`` reads
-the live rows back.
+State is one row per transaction, held in the RocksDB state store (the
+session default set by ``build_session``), so it lives on executor disk, not
+on the heap. There is deliberately no watermark: a void can arrive any time
+after its transaction, and evicting a transaction's state would silently
+revive a voided one. ``write_changes`` is an idempotent ``foreachBatch`` sink
+(one folder per batch id, overwritten on replay) and ``current_from_changes``
+reads the live rows back.
 """
 
 from __future__ import annotations

@@ -80,8 +80,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a scratch folder created
-    and registered; on a cluster the configured shared folder is always used.
+    Only when the setting is absent and the master is local (tests) is a
+    scratch folder created; on a cluster without the setting it raises rather
+    than checkpoint to a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -91,6 +92,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor "
+                           "shares (HDFS, object store); a machine-local folder would be "
+                           "lost with its executor")
     local = tempfile.mkdtemp(prefix="tally-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

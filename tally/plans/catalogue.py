@@ -39,6 +39,8 @@ GENERATED_AT = dt.datetime(2024, 1, 20, 12, 5)
 GENERATED_ON = dt.date(2024, 1, 20)
 BASE_URL = "https://ops.example.com/borrowers/?id="
 SERVICING_FEE_ACCOUNT = "earned_servicing_fee"
+# Every optional report filter except ``user_id``: an id filter would make a
+# registered query a one-user subset; the id filter (T-5) is unit-tested.
 FILTERED_REPORT_ARGS = dict(
     state="S3", amount_min=1_000_000, amount_max=30_000_000,
     start=dt.datetime(1995, 6, 1), end=dt.datetime(2001, 6, 30),

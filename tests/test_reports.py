@@ -458,3 +458,16 @@ def test_external_ledgers_match_literal_sql(spark, data):
               external_ledger_sql(rule))
     check(L.external_ledger_first_last(t, program=AGENT_PROGRAM, generated_at=GENERATED_AT),
           external_ledger_first_last_sql())
+
+
+def test_external_ledger_legacy_timestamp_text(spark):
+    from conftest import SF_SMALL
+    from tally.sources.fixtures import AGENT_PROGRAM, fixture_tables
+    t = fixture_tables(spark, SF_SMALL)
+    gen = dt.datetime(2024, 7, 20, 15, 5)
+    legacy = L.external_ledger(t, program=AGENT_PROGRAM, generated_at=gen, legacy_format=True)
+    fixed = L.external_ledger(t, program=AGENT_PROGRAM, generated_at=gen)
+    assert {r.report_generated_at for r in legacy.select("report_generated_at").collect()} \
+        == {"07/20/2024 03:07"}      # 12-hour clock, then the month where minutes belong
+    assert {r.report_generated_at for r in fixed.select("report_generated_at").collect()} \
+        == {"07/20/2024 15:05"}

@@ -116,3 +116,17 @@ def test_reports_run_on_declared_schemas(spark):
                 exclude_portfolio=TEST_PORTFOLIO, base_url=BASE_URL,
                 servicing_fee_account="earned_servicing_fee")
     same(R.remittance_report(prod, **tape), R.remittance_report(t, **tape), "principal")
+
+
+def test_jdbc_slices_cover_each_row_once():
+    import duckdb
+
+    from tally.sources.jdbc import slice_predicates
+    assert slice_predicates("_id", 1) == ["1 = 1"]
+    preds = slice_predicates("k", 4, bucket="({key} % {n} + {n}) % {n}")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT range AS k FROM range(-50, 50)")
+    counts = [con.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in preds]
+    assert sum(counts) == 100 and all(c > 0 for c in counts)
+    pg = slice_predicates("transaction_id", 3)
+    assert pg[2] == ("((hashtext(coalesce(transaction_id::text, '')) % 3) + 3) % 3 = 2")

@@ -86,7 +86,11 @@ def main(argv: list[str] | None = None) -> int:
     sub.add_parser("list", help="list reports and their parameters")
     run = sub.add_parser("run", help="run one report")
     run.add_argument("report", choices=sorted(REPORTS))
-    run.add_argument("--tables", required=True, help="folder with one sub-folder per table")
+    run.add_argument("--tables", help="folder with one sub-folder per table")
+    run.add_argument("--jdbc-url", help="read the tables from this JDBC database instead")
+    run.add_argument("--jdbc-prop", action="append", default=[], metavar="KEY=VALUE",
+                     help="JDBC connection property (user, password, driver, ...)")
+    run.add_argument("--jdbc-slices", type=int, default=64)
     run.add_argument("--input-format", default="parquet")
     run.add_argument("--infer-schema", action="store_true",
                      help="use the files' own schemas instead of the declared ones")
@@ -106,8 +110,15 @@ def main(argv: list[str] | None = None) -> int:
     fn = REPORTS[args.report]
     kwargs = parse_params(fn, args.param)
     spark = build_session()
-    tables = read_tables(spark, args.tables, fmt=args.input_format,
-                         schemas={} if args.infer_schema else None)
+    if args.jdbc_url:
+        from tally.sources.jdbc import read_jdbc_tables
+        props = dict(p.partition("=")[::2] for p in args.jdbc_prop)
+        tables = read_jdbc_tables(spark, args.jdbc_url, props, slices=args.jdbc_slices)
+    elif args.tables:
+        tables = read_tables(spark, args.tables, fmt=args.input_format,
+                             schemas={} if args.infer_schema else None)
+    else:
+        raise SystemExit("give --tables or --jdbc-url")
     positional = [p for p in inspect.signature(fn).parameters.values()
                   if p.kind == p.POSITIONAL_OR_KEYWORD and p.default is p.empty][1:]
     call_args = [kwargs.pop(p.name) for p in positional if p.name in kwargs]

@@ -25,6 +25,8 @@ from tally.plans import ledger, loans, remittance
 REPORTS = {
     "ledger_current_versions": ledger.ledger_current_versions,
     "ledger_first_versions": ledger.ledger_first_versions,
+    "cleared_versions": ledger.cleared_versions,
+    "latest_then_filter": ledger.latest_then_filter,
     "external_ledger": ledger.external_ledger,
     "external_ledger_first_last": ledger.external_ledger_first_last,
     "early_month_cleared_totals": ledger.early_month_cleared_totals,
@@ -41,6 +43,7 @@ REPORTS = {
     "new_purchasable": remittance.new_purchasable,
     "nsf_repayments": remittance.nsf_repayments,
     "entry_impacts": remittance.entry_impacts,
+    "loan_balances": remittance.loan_balances,
     "investor_refunds": remittance.investor_refunds,
     "remittance_report": remittance.remittance_report,
 }

@@ -67,6 +67,10 @@ def ledger_unvoided_latest(spark, sf_dir):
     return L.cleared_versions(_t(spark, sf_dir), "created_local").select(*_LEDGER_KEEP)
 
 
+def ledger_unvoided_earliest(spark, sf_dir):
+    return L.cleared_versions(_t(spark, sf_dir), "effective_only").select(*_LEDGER_KEEP)
+
+
 def ledger_unvoided_latest_stream(spark, sf_dir):
     """Same result as ``ledger_unvoided_latest``, kept by a streaming aggregate
     over the events files (run to completion with an available-now trigger)."""
@@ -212,6 +216,7 @@ _RAW_QUERIES: dict[str, Query] = {
     "ledger_current_versions": ledger_current_versions,
     "ledger_first_versions": ledger_first_versions,
     "ledger_unvoided_latest": ledger_unvoided_latest,
+    "ledger_unvoided_earliest": ledger_unvoided_earliest,
     "ledger_unvoided_latest_stream": ledger_unvoided_latest_stream,
     "ledger_latest_then_filter": ledger_latest_then_filter,
     "external_ledger_created_local": _external("created_local"),

@@ -37,6 +37,11 @@ each query executed in full into the `noop` sink (nothing collected).
 """
 
 TAIL = """
+Load: the shared test machine's load average was 2-3 during these runs and
+full-catalogue totals ranged from about 11 s to 17 s across runs of the same
+code; an earlier set of runs under lower load gave 11.4 s (8 cores) and
+12.0 s (4 cores) for the 28 queries registered then.
+
 Reading: at 0.1 GB the Spark time is mostly fixed per-stage cost (a report
 runs 5-30 small jobs, and every test table is a single parquet row group,
 so each scan is one task), not data work; the two snapshot queries, which

@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tally.llm.decontaminate import benchmark_hits, items_digest
+from tally.llm.importance import resample
 from tally.llm.jaccard_join import jaccard_components
 from tally.llm.store import prepare
 
@@ -15,12 +18,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight, Gumbel key and verdict of every document; target: quality 1."""
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside ten-word windows of benchmark items."""
+    hits = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+    return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       items_digest("items").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, similarity 0.9: the component of every document."""
     return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_importance_resampling": op1_importance_resampling,
+    "op5_decontamination": op5_decontamination,
     "op8_jaccard_join": op8_jaccard_join,
 }
 

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from tally.llm.decontaminate import benchmark_hits, items_digest
 from tally.llm.importance import resample
 from tally.llm.jaccard_join import jaccard_components
+from tally.llm.mixing import mix
 from tally.llm.store import prepare
+from tally.llm.token_counts import token_counts
+
+#: Longest document, in tokens, that a training sequence holds.
+TOKEN_LIMIT = 512
+#: Target weights of the domains that the labels tell apart.
+DOMAIN_WEIGHTS = {"clean": 0.90, "toxic": 0.06, "low": 0.04}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +42,38 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def labelled_domains(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the labelled table: low quality, else toxic, else clean."""
+    return labels.select("doc_id", F.when(F.col("quality") == 0, "low").when(F.col("toxic") == 1, "toxic")
+                         .when((F.col("quality") == 1) & (F.col("toxic") == 0), "clean").alias("domain"))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors and rate of every document, for DOMAIN_WEIGHTS."""
+    rows = mix(table(spark, sf_dir, "documents"), labelled_domains(table(spark, sf_dir, "labels")), DOMAIN_WEIGHTS)
+    return rows.select("doc_id", "n_tokens", *[F.col("posterior")[k].alias(f"p_{d}") for k, d in enumerate(DOMAIN_WEIGHTS)],
+                       "rate")
+
+
+def tokenizer_path() -> str:
+    """Path of the public byte-level BPE vocabulary."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    counted = token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op5_decontamination": op5_decontamination,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_source_mixing": op9_source_mixing,
+    "op10_token_counts": op10_token_counts,
 }
 
 #: DuckDB SQL where it can state a query.

@@ -11,6 +11,8 @@ from tally.llm.decontaminate import benchmark_hits, items_digest
 from tally.llm.importance import resample
 from tally.llm.jaccard_join import jaccard_components
 from tally.llm.mixing import mix
+from tally.llm.quality_rules import judge
+from tally.llm.revisits import resolve_revisits
 from tally.llm.store import prepare
 from tally.llm.token_counts import token_counts
 
@@ -37,6 +39,50 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        items_digest("items").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and the verdict of the adaptive rules for every document."""
+    return judge(table(spark, sf_dir, "documents"))
+
+
+def page_captures(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(responses, revisits) of a crawl derived from ``pages``.
+
+    Every page is a response, a minute after the one before; every page is also
+    revisited up to two days later by another spelling of its URL, one in
+    eleven before its response. The revisit's validators are the page's, but
+    for stale or missing ones at one page in five, seven and thirteen.
+    """
+    at = F.col("page_id") * 60 + 1_600_000_000
+    field = lambda n, v: F.struct(F.lit(n).alias("name"), v.cast("string").alias("value"))
+    digest = F.md5(F.col("html").cast("binary"))
+    every = lambda n: F.col("page_id") % n == 0
+    responses = pages.select(
+        F.concat(F.lit("r"), "page_id").alias("record_id"), "url", at.alias("ts"),
+        F.array(field("Content-Type", F.lit("text/html")), field("Content-Length", F.octet_length("html")),
+                field("ETag", F.concat(F.lit('W/"'), digest, F.lit('"'))), field("Last-Modified", at - 86400),
+                field("Cache-Control", F.lit("max-age=60")), field("Date", at)).alias("headers"),
+        digest.alias("payload_digest"), F.octet_length("html").cast("long").alias("payload_bytes"))
+    late = F.when(every(11), at - 30).otherwise(at + 3600 * (1 + F.col("page_id") % 48))
+    tag = F.when(every(7), F.lit(None)).when(every(5), F.md5(F.col("page_id").cast("string").cast("binary"))).otherwise(digest)
+    changed = F.when(every(13), F.lit(None)).otherwise(at - 86400)
+    fields = F.array(field("Content-Type", F.lit("text/plain")), field("Content-Length", F.lit(0)),
+                     field("ETag", F.concat(F.lit('"'), tag, F.lit('"'))), field("Last-Modified", changed),
+                     field("Cache-Control", F.lit("max-age=3600")), field("Date", late), field("Expires", late + 3600))
+    revisits = pages.select(
+        F.concat(F.lit("v"), "page_id").alias("record_id"),
+        F.concat(F.regexp_replace(F.regexp_replace("url", "^https?://", "HTTPS://WWW."), "#.*$", ""), F.lit("#again")).alias("url"),
+        late.alias("ts"), F.filter(fields, lambda h: h["value"].isNotNull()).alias("headers"))
+    return responses, revisits
+
+
+def op7_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every revisit of the crawl derived from ``pages``, resolved; headers as name=value lines."""
+    rows = resolve_revisits(*page_captures(table(spark, sf_dir, "pages")))
+    lines = F.transform("headers", lambda h: F.concat(F.lower(h["name"]), F.lit("="), h["value"]))
+    return rows.select("record_id", "url_key", "response_id", "status", F.array_join(lines, "\n").alias("headers"),
+                       "payload_digest", "payload_bytes")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, similarity 0.9: the component of every document."""
     return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
@@ -71,10 +117,50 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op5_decontamination": op5_decontamination,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_revisits": op7_revisits,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_source_mixing": op9_source_mixing,
     "op10_token_counts": op10_token_counts,
 }
 
 #: DuckDB SQL where it can state a query.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_revisits": r"""
+WITH captured AS (
+  SELECT *, 1600000000 + page_id * 60 AS seen, md5(html) AS digest,
+         regexp_replace(regexp_replace(url, '#.*$', ''), '^https?://', '') AS bare
+  FROM pages
+), keyed AS (
+  SELECT *, regexp_replace(lower(regexp_extract(bare, '^[^/?]*')), '^www\.', '') AS host,
+         regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         regexp_replace(regexp_replace(regexp_extract(bare, '\?(.*)$', 1), '(^|&)utm_[^&]*', '', 'g'), '^&', '') AS query
+  FROM captured
+), records AS (
+  SELECT *, host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS url_key,
+         CASE WHEN page_id % 11 = 0 THEN seen - 30 ELSE seen + 3600 * (1 + page_id % 48) END AS late,
+         CASE WHEN page_id % 7 = 0 THEN NULL WHEN page_id % 5 = 0 THEN md5(page_id::VARCHAR) ELSE digest END AS tag,
+         CASE WHEN page_id % 13 = 0 THEN NULL ELSE seen - 86400 END AS changed
+  FROM keyed
+), matched AS (
+  SELECT v.page_id, v.url_key, v.late, v.tag, v.changed, r.page_id AS of_id, r.seen AS of_seen, r.digest AS of_digest,
+         strlen(r.html) AS of_bytes
+  FROM records v ASOF LEFT JOIN records r ON v.url_key = r.url_key AND v.late > r.seen
+), judged AS (
+  SELECT *, CASE WHEN of_id IS NULL THEN 'no_response'
+                 WHEN tag IS NULL AND changed IS NULL THEN 'no_validator'
+                 WHEN COALESCE(tag = of_digest, changed = of_seen - 86400) THEN 'resolved'
+                 ELSE 'validator_mismatch' END AS status
+  FROM matched
+)
+SELECT 'v' || page_id AS record_id, url_key, 'r' || of_id AS response_id, status,
+       CASE WHEN status = 'resolved' THEN concat_ws(chr(10),
+              'cache-control=max-age=3600', 'content-length=' || of_bytes, 'content-type=text/html', 'date=' || late,
+              'etag=' || COALESCE('"' || tag || '"', 'W/"' || of_digest || '"'), 'expires=' || (late + 3600),
+              'last-modified=' || COALESCE(changed, of_seen - 86400))
+            ELSE concat_ws(chr(10), 'content-type=text/plain', 'content-length=0', 'etag="' || tag || '"',
+              'last-modified=' || changed, 'cache-control=max-age=3600', 'date=' || late, 'expires=' || (late + 3600))
+       END AS headers,
+       CASE WHEN status = 'resolved' THEN of_digest END AS payload_digest,
+       CASE WHEN status = 'resolved' THEN of_bytes END AS payload_bytes
+FROM judged
+"""}

@@ -11,10 +11,15 @@ from tally.llm.decontaminate import benchmark_hits, items_digest
 from tally.llm.importance import resample
 from tally.llm.jaccard_join import jaccard_components
 from tally.llm.mixing import mix
+from tally.llm.pii import KINDS, find_pii, span_list
 from tally.llm.quality_rules import judge
 from tally.llm.revisits import resolve_revisits
 from tally.llm.store import prepare
 from tally.llm.token_counts import token_counts
+from tally.llm.toxicity import toxicity_scores
+
+#: Documents scoring this or more are toxic.
+TOXIC_FROM = 0.3
 
 #: Longest document, in tokens, that a training sequence holds.
 TOKEN_LIMIT = 512
@@ -32,6 +37,24 @@ def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and added spans of personal data in every document."""
+    rows = find_pii(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return rows.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
+                       F.sha2(span_list("base").cast("binary"), 256).alias("base_sha256"),
+                       span_list(F.concat("base", "added")).alias("spans"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a quarter of the ids is held out from learning."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    learn = table(spark, sf_dir, "labels").where(~held_out)
+    rows = toxicity_scores(table(spark, sf_dir, "documents"), learn)
+    return rows.select("doc_id", held_out.alias("held_out"), "score",
+                       (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside ten-word windows of benchmark items."""
     hits = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
@@ -70,7 +93,7 @@ def page_captures(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
                      field("Cache-Control", F.lit("max-age=3600")), field("Date", late), field("Expires", late + 3600))
     revisits = pages.select(
         F.concat(F.lit("v"), "page_id").alias("record_id"),
-        F.concat(F.regexp_replace(F.regexp_replace("url", "^https?://", "HTTPS://WWW."), "#.*$", ""), F.lit("#again")).alias("url"),
+        F.concat(F.regexp_replace(F.regexp_replace("url", r"^https?://(www\.)?", "HTTPS://WWW."), "#.*$", ""), F.lit("#again")).alias("url"),
         late.alias("ts"), F.filter(fields, lambda h: h["value"].isNotNull()).alias("headers"))
     return responses, revisits
 
@@ -116,6 +139,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
+    "op3_pii": op3_pii,
+    "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_quality_rules": op6_quality_rules,
     "op7_revisits": op7_revisits,

@@ -15,6 +15,7 @@ from tally.llm.pii import KINDS, find_pii, span_list
 from tally.llm.quality_rules import judge
 from tally.llm.revisits import resolve_revisits
 from tally.llm.store import prepare
+from tally.llm.suffix_dedup import remove_repeats
 from tally.llm.token_counts import token_counts
 from tally.llm.toxicity import toxicity_scores
 
@@ -37,6 +38,11 @@ def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document inside 400-byte strings that start elsewhere too."""
+    return remove_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and added spans of personal data in every document."""
     rows = find_pii(table(spark, sf_dir, "documents"))
@@ -139,6 +145,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.store import prepare, saved
+from tally.llm.store import prepare, saved, schema_of
 from tally.llm.textbytes import LOWER, WORDY, Block, blocks, mix
 
 SHINGLE = 3
@@ -200,9 +200,8 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, *, text_col: str = "text",
             _rarity(vocabulary, widths), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
         late.append(spark.sparkContext.broadcast(_Index(rows, {r["shingle"]: r["n"] for r in counted.collect()})))
     sent = docs.select(*[F.col(c) for c in kept], text.alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sent.schema.fields[:-1])
     return sent.mapInArrow(_match(late, widths, len(kept)),
-                           f"{fields}, n_words long, n_hit long, items array<string>")
+                           schema_of(sent.schema.fields[:-1], "n_words long, n_hit long, items array<string>"))
 
 
 def items_digest(items):

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tally.llm.ngrams import collect_counts, count_rows, labelled_sample, present
 from tally.llm.select import kth_largest
-from tally.llm.store import prepare, saved
+from tally.llm.store import prepare, saved, schema_of
 from tally.llm.textbytes import blocks
 
 BUCKETS = 1 << 14
@@ -55,7 +55,7 @@ def _counts(buckets: int) -> Callable:
 
 
 def _weights(buckets: int, late, text_at: int) -> Callable:
-    """The rows with ``log_weight`` appended."""
+    """The kept columns and log_weight."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratio = late.value
         for batch in batches:
@@ -63,7 +63,8 @@ def _weights(buckets: int, late, text_at: int) -> Callable:
             for block in blocks(batch.column(text_at)):
                 bucket, owner = present(block, buckets)
                 out[block.first:block.first + len(block)] = np.bincount(owner, ratio[bucket], len(block))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], [*batch.schema.names, "log_weight"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:text_at], pa.array(out)],
+                                             [*batch.schema.names[:text_at], "log_weight"])
     return run
 
 
@@ -85,8 +86,7 @@ def importance_weights(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc
     late = spark.sparkContext.broadcast(log_ratio)
     names = keep or [id_col]
     sent = docs.select(*[F.col(c) for c in names], text.alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sent.schema.fields)
-    scored = sent.mapInArrow(_weights(buckets, late, len(names)), f"{fields}, log_weight double").drop("_text")
+    scored = sent.mapInArrow(_weights(buckets, late, len(names)), schema_of(sent.schema.fields[:-1], "log_weight double"))
     u = (F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(SEED)), 11).cast("double") + 0.5) / float(1 << 53)
     return scored.withColumn("key", F.col("log_weight") - F.log(-F.log(u))), sample
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.ngrams import collect_counts, count_rows, features, labelled_sample
-from tally.llm.store import prepare, saved
+from tally.llm.store import prepare, saved, schema_of
 from tally.llm.textbytes import blocks
 
 BUCKETS = 1 << 14
@@ -134,9 +134,8 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str],
     late = spark.sparkContext.broadcast((prior, likelihood))
     names = keep or [id_col]
     sent = docs.select(*[F.col(c) for c in names], text.alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sent.schema.fields[:-1])
     return sent.mapInArrow(_posteriors(len(domains), buckets, late, len(names)),
-                           f"{fields}, n_tokens long, posterior array<double>")
+                           schema_of(sent.schema.fields[:-1], "n_tokens long, posterior array<double>"))
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *, ridge: float = RIDGE,
@@ -156,5 +155,4 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *, ridg
         if np.abs(at[0] / total - weights).max() <= tolerance:
             break
         residuals.append(at[1] / total - weights)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(_rates(len(domains), residuals, ridge), f"{fields}, rate double")
+    return rows.mapInArrow(_rates(len(domains), residuals, ridge), schema_of(rows.schema.fields, "rate double"))

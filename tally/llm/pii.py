@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.store import prepare
+from tally.llm.store import prepare, schema_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns (fixed values), leftmost and non-overlapping within a kind.
@@ -282,9 +282,8 @@ def find_pii(docs: DataFrame, *, text_col: str = "text", keep: list[str] | None
     names = keep or ["doc_id"]
     late = spark.sparkContext.broadcast(fit_shapes(docs, text_col=text_col, sample=sample))
     sent = docs.select(*[F.col(c) for c in names], F.col(text_col).cast("string").alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sent.schema.fields[:-1])
     span = "array<struct<kind:int,start:int,end:int>>"
-    return sent.mapInArrow(_scan(late, len(names)), f"{fields}, base {span}, added {span}")
+    return sent.mapInArrow(_scan(late, len(names)), schema_of(sent.schema.fields[:-1], f"base {span}, added {span}"))
 
 
 def span_list(spans):

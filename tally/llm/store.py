@@ -8,6 +8,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Rows per Arrow batch handed to Python: bounds the memory of a worker.
 ARROW_ROWS = 512
@@ -54,3 +56,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
+
+
+def schema_of(fields: list[StructField], ddl: str) -> StructType:
+    """``fields`` and the ones of a DDL text."""
+    return StructType([*fields, *StructType.fromDDL(ddl).fields])
+
+
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, marked for broadcasting if it has at most ``rows`` rows; else joined as Spark plans it.
+
+    Either way the same rows join. ``df`` should be a written table, as it is counted.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.ngrams import labelled_sample
-from tally.llm.store import prepare, saved
+from tally.llm.store import prepare, saved, schema_of
 
 #: The letters that a symbol may stand for besides itself (fixed values).
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -260,5 +260,4 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     late = spark.sparkContext.broadcast((model, lexicon, floor))
     names = keep or [id_col]
     sent = docs.select(*[F.col(c) for c in names], F.col(text_col).cast("string").alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sent.schema.fields[:-1])
-    return sent.mapInArrow(_score(late, len(names)), f"{fields}, score double")
+    return sent.mapInArrow(_score(late, len(names)), schema_of(sent.schema.fields[:-1], "score double"))

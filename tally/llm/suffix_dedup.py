@@ -2,24 +2,30 @@
 
 Wanted is every byte that lies in a string of ``length`` bytes which also
 starts anywhere else. Plain prefix doubling ranks every byte position in
-every round, many times the text in shuffled rows. Here the first rounds rank
-a sample of the positions: of the ``length - SEED_BYTES + 1`` seeds in a window
-of ``length`` bytes the one with the smallest name (the leftmost of equal
-ones) is the window's anchor, so that equal windows have equal anchors at
-equal distances, and the windows of an anchor are one run of starts.
-
-1. Rank by seed: anchors with equal ``SEED_BYTES`` bytes are together; those
-   of a unique rank are done, none of their windows repeats.
-2. Rank by the bytes of all windows of the anchor, as a pair of names of the
-   two halves: if that rank is shared, all its windows repeat. One member of
-   each class goes on where classes share a seed but differ; the rest is done.
-3. Rank every window there, at last: the pair of the name of its first half
-   and the name at the offset of half the threshold. Windows of a shared rank
-   repeat, those of a unique one do not, and the threshold is passed.
-
-Names are 64-bit polynomials of the bytes, ranks are pairs of them (128 bits),
-which Spark groups and joins; no text is compared in the driver or gathered
-in one task. A text's intervals are merged where its bytes are hashed.
+every round, many times the text in shuffled rows. Here the rounds rank runs
+of neighbouring positions, each finer than the one before, and only where the
+one before could not decide.
+
+Of the ``length - SEED_BYTES + 1`` seeds in a window of ``length`` bytes the one
+with the smallest name (the leftmost of equal ones) is the window's anchor, so
+that equal windows have equal anchors at equal distances, and the windows of
+an anchor are one run of starts. In every round a run has a pair of ranks: the
+rank of its core, the bytes common to all its windows, and that of its whole
+extent at a growing offset around it. Spark sorts the pairs:
+
+* a unique core: none of the run's windows repeats;
+* a shared pair: all of them repeat;
+* a core shared by different wholes: one member of each pair goes on, cut
+  into shorter runs on a grid of distances to the anchor.
+
+Round 1 has the anchors' runs (the core is the seed), round 2 runs of
+``CELL`` windows, and round 3 single windows, with which the threshold is
+passed: the pair is that of the names of its first half and of the one at the
+offset of half the threshold.
+
+Names are 64-bit polynomials of the bytes; only pairs of them decide. No text
+is compared in the driver or gathered in one task. A text's intervals are
+merged before its bytes are hashed.
 
 Null and empty texts have no bytes and are kept as they are. Rows repeat each
 other like any texts, equal rows and equal ids included: their passages are
@@ -37,10 +43,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.store import prepare, saved
+from tally.llm.store import prepare, saved, schema_of, sized
 from tally.llm.textbytes import EXACT, Block, blocks, mix
 
-SEED_BYTES = 64
+SEED_BYTES = 192
+CELL = 16
+BROADCAST_SEEDS = 2_000_000     # repeated seeds (8 bytes each) that are broadcast to the anchors
+BROADCAST_RUNS = 400_000        # runs (about 40 bytes each) that are broadcast to the texts; more are joined by shuffle
 _U = np.uint64
 
 
@@ -74,52 +83,67 @@ def _anchors_of(block: Block, sums: np.ndarray, length: int) -> tuple[np.ndarray
     return text[first], first, number, least[first]
 
 
-def _pair(block: Block, sums: np.ndarray, start: np.ndarray, length: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the two halves of [start, start + length)."""
-    half = start + length // 2
-    return block.names(sums, start, half), block.names(sums, half, start + length)
+_RUN = "at long, number int, anchor long"
 
 
-def _ranked(length: int) -> Callable:
-    """(id, name, at, number, seed, left, right): every anchor's run of windows and its ranks."""
+def _anchors(length: int) -> Callable:
+    """(id, name, at, number, anchor, core, whole): every anchor's run of windows and its ranks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(2)):
                 sums = block.sums(EXACT)
                 text, first, number, anchor = _anchors_of(block, sums, length)
-                seed = mix(block.names(sums, anchor, anchor + SEED_BYTES))
-                left, right = _pair(block, sums, first, length - 1 + number)
-                # the place of the anchor among the bytes is part of the rank
-                left = mix(left + (anchor - first).astype(np.uint64) * _U(0x9E3779B97F4A7C15) + number.astype(np.uint64))
-                row = pa.array(block.first + text)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(row), batch.column(1).take(row), pa.array(first - block.offsets[text]),
-                     pa.array(number.astype(np.int32)), *[pa.array(x.view(np.int64)) for x in (seed, left, right)]],
-                    ["id", "name", "at", "number", "seed", "left", "right"])
+                core = mix(block.names(sums, anchor, anchor + SEED_BYTES))
+                whole = _whole(block.names(sums, first, first + number - 1 + length), anchor - first, number)
+                row, base = pa.array(block.first + text), block.offsets[text]
+                yield _run_rows([batch.column(0).take(row), batch.column(1).take(row)], first - base, number,
+                                anchor - base, core, whole)
     return run
 
 
-def _windows(length: int) -> Callable:
-    """(cls, at, left, right): the rank of every window of the wanted runs of a text."""
+def _whole(names: np.ndarray, distance: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """The place and length of the run among the bytes are part of the rank."""
+    return mix(names + mix((distance << 20 | number).astype(np.uint64)))
+
+
+def _run_rows(keys: list, at, number, anchor, core, whole) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [*keys, pa.array(at), pa.array(number.astype(np.int32)), pa.array(anchor), pa.array(core.view(np.int64)),
+         pa.array(whole.view(np.int64))], ["id", "name", "at", "number", "anchor", "core", "whole"])
+
+
+def _finer(length: int, width: int) -> Callable:
+    """Rows like the anchors' for the wanted runs of a text, cut into runs of at most ``width`` windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            runs = batch.column(1).to_pylist()
-            for block in blocks(batch.column(0)):
+            wanted = batch.column(3).to_pylist()
+            for block in blocks(batch.column(2)):
                 sums = block.sums(EXACT)
                 for k in range(len(block)):
-                    own = runs[block.first + k]
-                    first = np.array([r["at"] for r in own], np.int64) + block.offsets[k]
-                    number = np.array([r["number"] for r in own], np.int64)
-                    cls = np.array([r["cls"] for r in own], np.int64)
-                    step = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-                    start = np.repeat(first, number) + step
-                    left, right = _pair(block, sums, start, length)
-                    for lo in range(0, len(start), 1 << 16):
-                        part = slice(lo, lo + (1 << 16))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.repeat(cls, number)[part]), pa.array(step[part].astype(np.int32)),
-                             pa.array(left.view(np.int64)[part]), pa.array(right.view(np.int64)[part])],
-                            ["cls", "step", "left", "right"])
+                    own = wanted[block.first + k]
+                    base = block.offsets[k]
+                    at, number, anchor = (np.array([r[c] for r in own], np.int64) for c in ("at", "number", "anchor"))
+                    # cells of the grid that the run's distances anchor - at - number + 1 .. anchor - at meet
+                    low, high = (anchor - at - number + 1) // width, (anchor - at) // width
+                    cells = high - low + 1
+                    row = np.repeat(np.arange(len(own)), cells)
+                    cell = np.repeat(low, cells) + np.arange(cells.sum()) - np.repeat(np.cumsum(cells) - cells, cells)
+                    at, number, anchor = at[row], number[row], anchor[row]
+                    first = np.maximum(at, anchor - (cell + 1) * width + 1)
+                    number = np.minimum(at + number - 1, anchor - cell * width) - first + 1
+                    if width > 1:
+                        start = base + anchor - cell * width
+                        core = block.names(sums, start, start + length - width + 1)
+                        whole = block.names(sums, base + first, base + first + number - 1 + length)
+                    else:
+                        half = base + first + length // 2
+                        core, whole = block.names(sums, base + first, half), block.names(sums, half, base + first + length)
+                    core = mix(core + mix(cell.astype(np.uint64)))
+                    whole = _whole(whole, anchor - first, number)
+                    n = len(first)
+                    yield _run_rows([pa.array([batch.column(0)[block.first + k].as_py()] * n, batch.schema.field(0).type),
+                                     pa.array([batch.column(1)[block.first + k].as_py()] * n, pa.int64())],
+                                    first, number, anchor, core, whole)
     return run
 
 
@@ -132,8 +156,21 @@ def merge_runs(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[first], reach[np.concatenate([cut - 1, [len(lo) - 1]])]
 
 
-def _removed(length: int, with_text: bool) -> Callable:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept_text]) from a text and its repeated window runs."""
+def _merged(length: int) -> Callable:
+    """(id, name, cuts): the removed byte intervals of a text from its runs of repeated windows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
+        for batch in batches:
+            cuts = []
+            for runs in batch.column(2).to_pylist():
+                at, number = (np.array([r[c] for r in runs], np.int64) for c in ("at", "number"))
+                cuts.append([{"lo": x, "hi": y} for x, y in zip(*(z.tolist() for z in merge_runs(at, at + number - 1 + length)))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cuts, cut)], ["id", "name", "cuts"])
+    return run
+
+
+def _removed(with_text: bool) -> Callable:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept_text]) from a text and its removed intervals."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, gone, spans, digest, kept_texts = [], [], [], [], []
@@ -145,7 +182,7 @@ def _removed(length: int, with_text: bool) -> Callable:
                     spans.append(0)
                     kept = data
                 else:
-                    lo, hi = merge_runs(np.array([r["lo"] for r in runs]), np.array([r["hi"] for r in runs]) + length - 1)
+                    lo, hi = (np.array([r[c] for r in runs]) for c in ("lo", "hi"))
                     gone.append(int((hi - lo).sum()))
                     spans.append(len(lo))
                     ends = [0, *hi.tolist()]
@@ -162,36 +199,40 @@ def _removed(length: int, with_text: bool) -> Callable:
     return run
 
 
-def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
-    """(id, name, lo, hi): runs of starts [lo, hi) of repeated windows; ``texts`` has id, name and text."""
-    id_type = dict(texts.dtypes)["id"]
-    anchors = saved(texts.where(F.octet_length("text") >= length).mapInArrow(
-        _ranked(length), f"id {id_type}, name long, at long, number int, seed long, left long, right long"), "anchors")
-
-    # Rounds 1 and 2: seeds, then classes of equal bytes around the anchor; a unique seed has one class of one.
-    classes = saved(anchors.groupBy("seed", "left", "right").agg(
-        F.count("*").alias("members"), F.min(F.struct("id", "name", "at", "number")).alias("first")), "anchor-classes")
-    shared = classes.groupBy("seed").agg(F.count("*").alias("classes")).where("classes > 1").select("seed")
-    whole = classes.where("members > 1").select("left", "right")
-    # the class's number: its own names, mixed
-    number = F.xxhash64("left", "right")
-    open_ = saved(classes.join(shared, "seed", "left_semi").select(
-        number.alias("cls"), "left", "right", "members", "first"), "anchor-open")
-
-    # Round 3: every window of one member of each open class.
-    wanted = open_.groupBy(F.col("first.id").alias("of_id"), F.col("first.name").alias("of_name")).agg(
-        F.collect_list(F.struct("cls", F.col("first.at").alias("at"), F.col("first.number").alias("number"))).alias("runs"))
-    windows = saved(texts.join(wanted, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("name") == F.col("of_name")))
-                    .dropDuplicates(["id", "name"]).select("text", "runs")
-                    .mapInArrow(_windows(length), "cls long, step int, left long, right long"), "windows")
-    twice = windows.groupBy("left", "right").agg(F.count("*").alias("n")).where("n > 1").select("left", "right")
-    single = open_.where("members = 1").select("cls", "first")
-    hits = windows.join(twice, ["left", "right"], "left_semi").join(single, "cls").select(
-        F.col("first.id").alias("id"), F.col("first.name").alias("name"), (F.col("first.at") + F.col("step")).alias("at"))
-
-    runs = anchors.join(whole, ["left", "right"], "left_semi").select(
-        "id", "name", F.col("at").alias("lo"), (F.col("at") + F.col("number")).alias("hi"))
-    return runs.unionByName(hits.select("id", "name", F.col("at").alias("lo"), (F.col("at") + 1).alias("hi")))
+def _joined(texts: DataFrame, lists: DataFrame, entries: str, how: str) -> DataFrame:
+    """``texts`` with the lists of their runs; a list table of few runs is broadcast."""
+    runs = lists.agg(F.sum(F.size(entries))).first()[0] or 0
+    side = lists.withColumnsRenamed({"id": "of_id", "name": "of_name"})
+    side = F.broadcast(side) if runs <= BROADCAST_RUNS else side
+    return texts.join(side, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("name") == F.col("of_name")), how)
+
+
+def _decided(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Runs (id, name, at, number) that repeat, and a member (id, name, at, number, anchor) of each pair left open."""
+    classes = saved(rows.groupBy("core", "whole").agg(
+        F.count("*").alias("members"), F.min(F.struct("id", "name", "at", "number", "anchor")).alias("first")), name)
+    same = saved(classes.where("members > 1").select("core", "whole"), name)
+    repeated = rows.join(sized(same, BROADCAST_RUNS), ["core", "whole"], "left_semi").select("id", "name", "at", "number")
+    several = saved(classes.groupBy("core").agg(F.count("*").alias("wholes")).where("wholes > 1").select("core"), name)
+    return repeated, classes.join(sized(several, BROADCAST_RUNS), "core", "left_semi").select("first.*")
+
+
+def repeated_runs(texts: DataFrame, length: int) -> DataFrame:
+    """(id, name, at, number): runs of starts of repeated windows; ``texts`` has id, name and text."""
+    fields = [f for f in texts.schema.fields if f.name in ("id", "name")]
+    schema = schema_of(fields, f"{_RUN}, core long, whole long")
+    anchors = saved(texts.where(F.octet_length("text") >= length).mapInArrow(_anchors(length), schema), "anchors")
+    twice = saved(anchors.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "seeds")
+    rows = saved(anchors.join(sized(twice, BROADCAST_SEEDS), "core", "left_semi").select(schema.names), "runs")
+    repeated, open_ = _decided(rows, "runs-classes")
+    for width in (CELL, 1):
+        wanted = saved(open_.groupBy("id", "name").agg(F.collect_list(F.struct("at", "number", "anchor")).alias("runs")),
+                       "runs-open")
+        rows = saved(_joined(texts, wanted, "runs", "inner").select("id", "name", "text", "runs")
+                     .mapInArrow(_finer(length, width), schema), "runs")
+        more, open_ = _decided(rows, "runs-classes")
+        repeated = repeated.unionByName(more)
+    return repeated
 
 
 def remove_repeats(docs: DataFrame, *, length: int = 400, id_col: str = "doc_id", text_col: str = "text",
@@ -202,12 +243,10 @@ def remove_repeats(docs: DataFrame, *, length: int = 400, id_col: str = "doc_id"
     prepare(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("name"), text.alias("text"))
-    id_type = dict(texts.dtypes)["id"]
-    found = repeated_windows(texts, length)
-    lists = found.groupBy(F.col("id").alias("of_id"), F.col("name").alias("of_name")).agg(
-        F.collect_set(F.struct("lo", "hi")).alias("runs"))
-    joined = texts.join(lists, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("name") == F.col("of_name")), "left")
+    lists = repeated_runs(texts, length).groupBy("id", "name").agg(F.collect_set(F.struct("at", "number")).alias("runs"))
+    cuts = saved(lists.mapInArrow(_merged(length), schema_of(lists.schema.fields[:2], "cuts array<struct<lo:long,hi:long>>")),
+                 "cuts")
     extra = ", kept_text string" if with_text else ""
-    out = joined.select("id", "text", "runs").mapInArrow(
-        _removed(length, with_text), f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string{extra}")
+    out = _joined(texts, cuts, "cuts", "left").select("id", "text", "cuts").mapInArrow(_removed(with_text), schema_of(
+        texts.schema.fields[:1], f"n_bytes long, n_removed long, n_spans long, kept_sha256 string{extra}"))
     return out.withColumnRenamed("id", id_col)

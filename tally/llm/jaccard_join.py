@@ -4,17 +4,26 @@ Documents with equal shingle sets are one class; only classes are joined.
 All sets are ordered alike (very frequent shingles last, the others by their
 64-bit name). Two sets with Jaccard similarity >= t of sizes n, m share at
 least ceil(t * n) shingles, so their first ``n - ceil(t * n) + l`` shingles
-share at least l. Every class writes its longest prefix (l = ``max_match``);
-from the measured document frequencies of the prefix shingles it picks the l
-of the lowest estimated cost: postings read, plus the verification of at most
-postings / l candidates. A pair must then share min(l, l') prefix shingles.
-
-Verification runs in two rounds, so that a group of thousands of near copies
-is not expanded into all its pairs. First each class meets the one centre it
-shares most prefix shingles with; confirmed links are contracted to
-components. Then all candidate pairs that still lie in different components
-are verified. A pair left out is inside one component already, so the
-components are those of all links. No candidate, bucket or partner is capped.
+share at least l. Every class writes its longest prefix (l = ``max_match``).
+A pair must share min(l, l') prefix shingles, and as many more as its sizes
+demand: the shingles behind the prefixes add at most
+max(n - prefix, m - prefix') to the overlap (``_needed``). Of k needed ones the
+rarest lies outside the k - 1 most frequent shingles of either prefix, so a
+longer prefix lets a document ignore as many more of its frequent shingles:
+each class picks the l for which the measured document frequencies of the
+others, its estimated candidates, add up to the least.
+
+Verification runs in rounds, so that a group of thousands of near copies is
+not expanded into all its pairs. First each class meets the one centre it
+shares most prefix shingles with (the candidate whose shingles are the most
+frequent, as those of a group's original are); confirmed links are contracted
+to components. Candidates that still lie in different components follow:
+those of one group (which share half a prefix with a centre, or are its
+candidates) in cells of two
+blocks of at most about ``CELL`` classes, compared within a task; those of
+different groups as single pairs. A pair left out is inside one component
+already, so the components are those of all links. No candidate, bucket or
+partner is capped.
 
 Nulls and texts without words have empty sets and link with nothing. A text
 of fewer words than the shingle size is one shingle. Repeated rows (and
@@ -28,13 +37,14 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.llm.components import components
-from tally.llm.store import prepare, saved
+from tally.llm.store import prepare, saved, sized
 from tally.llm.textbytes import LOWER, SPACE, blocks, shingles
 
 #: A shingle in this share of the documents of a chunk is ordered last.
@@ -42,8 +52,9 @@ FREQUENT_SHARE = 0.004
 CHUNK_DOCS = 2000
 FREQUENT_BOUND = 200_000        # entries of the broadcast order (8 bytes each)
 BROADCAST_IDS = 200_000         # rows of a broadcast id list, beyond it a shuffle join
-VERIFY_COST = 20.0              # of one candidate, in postings read
-MAX_MATCH = 4
+READ_COST = 0.2                 # of one more prefix shingle, in candidates
+MAX_MATCH = 8
+CELL = 64                       # classes of a block
 
 
 def _frequent(size: int) -> Callable:
@@ -102,7 +113,7 @@ def _sets(size: int, percent: int, max_match: int, late) -> Callable:
                     sizes.append(n)
                     prints.append(_fingerprint(tokens) if n else None)
                     need = required(n, percent)
-                    if need < max_match:        # such sets link with equal ones only
+                    if 100 * n < percent * (n + 1):     # no different set is similar enough
                         prefixes.append(np.zeros(0, np.int64))
                         continue
                     width = min(n, n - need + max_match)
@@ -160,22 +171,83 @@ def _confirm(percent: int) -> Callable:
     return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, text_col: str, id_col: str,
-              size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets reach the similarity."""
-    ids = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+def _cells(percent: int) -> Callable:
+    """The links between classes of different components in a cell's one or two blocks."""
+    def run(cell):
+        sets = [np.frombuffer(x, np.uint64) for x in cell["tokens"]]
+        sizes = np.array([len(x) for x in sets])
+        tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        part, side, own = cell["component"].to_numpy(), cell["side"].to_numpy(), cell["own"].iloc[0]
+        shared = np.zeros((len(sets), len(sets)), np.int32)
+        edge = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]]))
+        for lo, hi in zip(edge[:-1], edge[1:]):
+            if hi - lo > 1:
+                at = owner[lo:hi]
+                shared[np.ix_(at, at)] += 1
+        x, y = np.triu_indices(len(sets), 1)
+        keep = (part[x] != part[y]) & (own | (side[x] != side[y]))
+        x, y = x[keep], y[keep]
+        both = shared[x, y]
+        hit = 100 * both >= percent * (sizes[x] + sizes[y] - both)
+        cls = cell["cls"].to_numpy()
+        return pd.DataFrame({"a": cls[x[hit]], "b": cls[y[hit]]})
+    return run
+
+
+def _whole_sets(ids: DataFrame, docs: DataFrame, classes: DataFrame, text_col: str, id_col: str, size: int) -> DataFrame:
+    """(cls, tokens): the whole sets of the classes ``ids`` (cls), from the texts."""
     wanted = saved(ids.join(classes.select("cls", "id", "print"), "cls"), "jaccard-wanted")
     known = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("own_id"))
-    small = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    picked = known.join(F.broadcast(wanted) if small else wanted, F.col("own_id").eqNullSafe(F.col("id")))
-    sets = saved(picked.select("text", "cls", "print").mapInArrow(_full(size), "cls long, tokens binary")
+    picked = known.join(sized(wanted, BROADCAST_IDS), F.col("own_id").eqNullSafe(F.col("id")))
+    return saved(picked.select("text", "cls", "print").mapInArrow(_full(size), "cls long, tokens binary")
                  .dropDuplicates(["cls"]), "jaccard-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose whole sets reach the similarity."""
     whole = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x")), "a")
              .join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y")), "b")
              .select("a", "b", "x", "y"))
     return saved(whole.mapInArrow(_confirm(percent), "a long, b long"), "jaccard-links")
 
 
+def _needed(percent: int, n: str, m: str, l_n: str, l_m: str):
+    """Prefix shingles that a linking pair shares at least, from its sizes and its l."""
+    rest = [f"(({percent} * {x} + 99) div 100 - {k})" for x, k in ((n, l_n), (m, l_m))]
+    overlap = f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
+    return F.expr(f"greatest(least({l_n}, {l_m}), {overlap} - greatest({rest[0]}, {rest[1]}))")
+
+
+def _within_groups(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components of one group. ``open_``: cls, component, grp.
+
+    Members are dealt to blocks by hash: a component of CELL classes or more
+    has blocks of its own, which need not meet each other; the smaller ones
+    share the group's mixed blocks.
+    """
+    per_part = open_.groupBy("grp", "component").agg(F.count("*").alias("size"))
+    mixed = per_part.where(F.col("size") < CELL).groupBy("grp").agg(F.sum("size").alias("mixed_size"))
+    count = lambda c: F.ceil(F.col(c) / CELL)
+    dealt = (open_.join(per_part, ["grp", "component"]).join(mixed, "grp", "left")
+             .withColumn("pure", F.when(F.col("size") >= CELL, F.col("component")))
+             .withColumn("block", F.when(F.col("size") >= CELL, F.pmod(F.xxhash64("cls"), count("size")))
+                         .otherwise(F.pmod(F.xxhash64("component"), count("mixed_size")))))
+    dealt = saved(dealt.select("grp", "pure", "block", "cls", "component"), "jaccard-blocks")
+    block = dealt.select("grp", F.struct("pure", "block").alias("b")).distinct()
+    pair = block.join(block.select("grp", F.col("b").alias("c")), "grp").where(
+        ((F.col("b") < F.col("c")) & ~F.col("b.pure").eqNullSafe(F.col("c.pure")))
+        | ((F.col("b") <= F.col("c")) & F.col("b.pure").isNull() & F.col("c.pure").isNull()))
+    cell = saved(pair.withColumn("own", F.col("b") == F.col("c")), "jaccard-cells")
+    sides = cell.select("grp", F.col("b").alias("at"), "b", "c", "own", F.lit(0).alias("side")).unionByName(
+        cell.where(~F.col("own")).select("grp", F.col("c").alias("at"), "b", "c", "own", F.lit(1).alias("side")))
+    rows = (dealt.withColumn("at", F.struct("pure", "block")).join(sides, ["grp", "at"])
+            .withColumn("cell", F.xxhash64("grp", "b", "c")).select("cell", "own", "side", "cls", "component")
+            .join(sets, "cls"))
+    return saved(rows.groupBy("cell").applyInPandas(_cells(percent), "a long, b long"), "jaccard-links")
+
+
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
                        percent: int = 90, max_match: int = MAX_MATCH) -> DataFrame:
     """(id, n_shingles, component_id) per row of ``docs``.
@@ -206,43 +278,68 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     found = saved(postings.join(shared, "token").select(
         "token", "cls", "n", "df", (F.col("pos") - base + 1).alias("least_l")), "jaccard-postings")
 
-    # The cheapest l of each class: postings read + VERIFY_COST * (postings / l).
-    cost = [F.sum(F.when(F.col("least_l") <= k, F.col("df") - 1).otherwise(0)) * (1 + VERIFY_COST / k)
-            for k in range(1, max_match + 1)]
-    best = F.array_min(F.array(*[F.struct(c.alias("cost"), F.lit(k).alias("l"))
-                                 for k, c in enumerate(cost, 1)]))
-    chosen = found.groupBy("cls").agg(best.alias("best")).select("cls", F.col("best.l").alias("l"))
-    used = saved(found.join(chosen, "cls").where("least_l <= l").select("token", "cls", "n", "l"), "jaccard-prefixes")
+    # The cheapest l of each class, from its shared prefix shingles in the order of their frequency.
+    own = found.groupBy("cls", "n").agg(F.sort_array(F.collect_list(F.struct("df", "least_l"))).alias("own"))
+
+    def cost(k: int):
+        held = F.filter("own", lambda x: x["least_l"] <= k)
+        alone = base + k - F.size(held)         # shingles of no other document come first
+        tried = F.slice(held, F.lit(1), F.greatest(base + 1 - alone, F.lit(0)).cast("int"))
+        sure = F.expr(f"({percent} * n + 99) div 100 >= {k}")   # l can't be more than what is shared for certain
+        return F.when(sure if k > 1 else F.lit(True), F.aggregate(
+            tried, F.lit(READ_COST * k), lambda a, x: a + x["df"] - 1.0)).otherwise(F.lit(1e300))
+
+    # rate: mean number of other documents that hold a shingle of the prefix
+    rate = F.aggregate("own", F.lit(0.0), lambda a, x: a + x["df"] - 1.0) / (base + max_match)
+    options = sorted({1, 2, 4, max_match})
+    chosen = own.select("cls", rate.alias("rate"), F.array_min(F.array(*[
+        F.struct(cost(k).alias("cost"), F.lit(k).alias("l")) for k in options if k <= max_match]))["l"].alias("l"))
+    by_rarity = Window.partitionBy("cls").orderBy("df", "token")
+    used = saved(found.join(chosen, "cls").where("least_l <= l").withColumn("width", base + F.col("l"))
+                 .withColumn("place", F.row_number().over(by_rarity) - 1 + F.col("width")
+                             - F.count("*").over(Window.partitionBy("cls")))
+                 .select("token", "cls", "n", "l", "rate", "width", "place"), "jaccard-prefixes")
 
     # Round 1: each class against the centre it shares most prefix shingles with.
-    centre = used.groupBy("token").agg(F.min(F.struct(F.xxhash64("cls").alias("h"), "cls", "n", "l")).alias("c"))
     fits = lambda n, m: (100 * F.least(n, m) >= percent * F.greatest(n, m))
-    first = (used.join(centre, "token").where((F.col("cls") != F.col("c.cls")) & fits(F.col("n"), F.col("c.n")))
-             .groupBy("cls", F.col("c.cls").alias("centre"))
-             .agg(F.count("*").alias("both"), F.max(F.least("l", "c.l")).alias("need")).where("both >= need")
+    centre = used.groupBy("token").agg(F.max(F.struct("rate", F.xxhash64("cls").alias("h"), "cls", "n", "l")).alias("c"))
+    first = (used.join(centre.select("token", F.col("c.cls").alias("centre"), F.col("c.n").alias("m"),
+                                     F.col("c.l").alias("k")), "token")
+             .where((F.col("cls") != F.col("centre")) & fits(F.col("n"), F.col("m")))
+             .groupBy("cls", "centre", "n", "m", "l", "k", "width").agg(F.count("*").alias("both"))
+             .where((F.col("both") >= _needed(percent, "n", "m", "l", "k")) | (2 * F.col("both") >= F.col("width")))
              .groupBy("cls").agg(F.max(F.struct("both", "centre")).alias("best"))
              .select(F.col("cls").alias("a"), F.col("best.centre").alias("b")))
     tried = saved(first, "jaccard-first")
-    links = _verified(tried, docs, classes, text_col, id_col, size, percent)
-    parts = saved(components(links, "a", "b", "jaccard-cc"), "jaccard-parts")
-
-    # Round 2: every candidate pair that lies in two components still.
-    placed = used.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-        "component", F.coalesce("component", "cls"))
-    split = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_ = saved(placed.join(split.select("token"), "token", "left_semi"), "jaccard-open")
-    left, right = (open_.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "l", "component")])
+    ends = tried.select(F.col("a").alias("cls")).unionByName(tried.select(F.col("b").alias("cls"))).distinct()
+    sets = _whole_sets(ends, docs, classes, text_col, id_col, size)
+    links = _verified(tried, sets, percent)
+    parts = components(links, "a", "b", "jaccard-cc").withColumnRenamed("node", "cls")
+    groups = components(tried, "a", "b", "jaccard-cc").select(F.col("node").alias("cls"), F.col("component").alias("grp"))
+    placed = saved(groups.join(parts, "cls", "left").withColumn("component", F.coalesce("component", "cls")),
+                   "jaccard-placed")
+
+    # Round 2: candidates of one group that lie in several components still.
+    several = placed.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    inside = _within_groups(placed.join(several.select("grp"), "grp", "left_semi"), sets, percent)
+
+    # Round 3: candidates of different groups (a class that met no centre is its own), by a shingle that is
+    # among the rare enough ones of both.
+    spread = used.join(placed.select("cls", "grp"), "cls", "left").withColumn("grp", F.coalesce("grp", "cls"))
+    split = spread.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo < hi")
+    open_ = saved(spread.join(split.select("token"), "token", "left_semi"), "jaccard-open")
+    left, right = (open_.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "l", "grp", "width", "place")])
                    for s in "ab")
+    needed = _needed(percent, "n_a", "n_b", "l_a", "l_b")
     second = (left.join(right, "token")
-              .where((F.col("cls_a") < F.col("cls_b")) & (F.col("component_a") != F.col("component_b"))
-                     & fits(F.col("n_a"), F.col("n_b")))
-              .groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
-              .agg(F.count("*").alias("both"), F.max(F.least("l_a", "l_b")).alias("need"))
-              .where("both >= need").select("a", "b"))
-    again = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = saved(second.join(again, ["a", "b"], "left_anti"), "jaccard-second")
-    more = _verified(rest, docs, classes, text_col, id_col, size, percent)
-    every = saved(components(links.unionByName(more), "a", "b", "jaccard-cc"), "jaccard-parts")
+              .where((F.col("cls_a") < F.col("cls_b")) & (F.col("grp_a") != F.col("grp_b"))
+                     & fits(F.col("n_a"), F.col("n_b")) & (F.col("place_a") <= F.col("width_a") - needed)
+                     & (F.col("place_b") <= F.col("width_b") - needed))
+              .select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct())
+    rest = saved(second, "jaccard-second")
+    late_ends = rest.select(F.col("a").alias("cls")).unionByName(rest.select(F.col("b").alias("cls"))).distinct()
+    across = _verified(rest, _whole_sets(late_ends, docs, classes, text_col, id_col, size), percent)
+    every = components(links.unionByName(inside).unionByName(across), "a", "b", "jaccard-cc")
 
     # Every row by its set's class, every class by its component, every component by its smallest id.
     member = rows.where("n > 0").select("uid", "id", "n", "print").join(classes.select("print", "cls"), "print")

@@ -52,7 +52,8 @@ SAMPLE_DOCS = 20_000        # documents with mentions that the shapes are fitted
 CHAIN_CHARS = 40            # mentions closer than this share a chain edge
 ROUNDS = 6
 CONFIDENCE = 0.8
-SAME, NEXT = 3.0, 0.2       # log potentials of equal labels along skip and chain edges
+SAME, NEXT = 6.0, 0.2       # log potentials of equal labels along skip and chain edges
+DOUBT = 4.0                 # log odds that a shape alone can speak against a kind, at most
 SHAPES = 1 << 12
 
 
@@ -212,7 +213,9 @@ def added_spans(texts: list[str], bases: list[list], model: np.ndarray) -> list[
         for s, e, k in own:
             here, form = len(nodes), text[s:e]
             nodes.append((t, s, e, k))
-            score = model[:, SHAPES] + model[:, _shape(form)].sum(axis=1)
+            # the features of a shape say much the same, so their mean counts
+            score = (model[:, SHAPES] + model[:, _shape(form)].sum(axis=1)) / 8.0
+            score = np.maximum(score, score.max() - DOUBT)
             if k >= 0:
                 score = np.full(none + 1, -30.0)
                 score[k] = 0.0
@@ -295,6 +298,7 @@ def span_list(spans):
 
 def masked(text, spans):
     """``text`` with every span replaced by its kind in brackets; of overlapping ones the first, longest."""
+    text = F.col(text) if isinstance(text, str) else text
     kind = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     order = F.array_sort(F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), (-s["end"]).alias("neg_end"), s["kind"].alias("kind"))))

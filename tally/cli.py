@@ -50,24 +50,19 @@ REPORTS = {
 
 
 def _convert(text: str, annotation) -> object:
+    """By the parameter's annotation alone: text and ids stay text, whatever they look like."""
     kind = str(annotation)
-    if "datetime" in kind:
+    if "Sequence" in kind or "list" in kind:
+        return [v for v in text.split(",") if v != ""]
+    if "datetime.datetime" in kind:
         return dt.datetime.fromisoformat(text)
     if "date" in kind:
         return dt.date.fromisoformat(text)
     if "bool" in kind:
         return text.lower() in ("1", "true", "yes")
-    if "Sequence" in kind:
-        return [_scalar(v) for v in text.split(",") if v != ""]
-    return _scalar(text)
-
-
-def _scalar(text: str) -> object:
-    for cast in (int, float):
-        try:
-            return cast(text)
-        except ValueError:
-            pass
+    for number in (int, float):
+        if number.__name__ in kind:
+            return number(text)
     return text
 
 
@@ -99,6 +94,7 @@ def main(argv: list[str] | None = None) -> int:
                      help="use the files' own schemas instead of the declared ones")
     run.add_argument("--param", action="append", default=[], metavar="KEY=VALUE")
     run.add_argument("--out", required=True)
+    run.add_argument("--overwrite", action="store_true", help="replace what lies at --out")
     run.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
     args = ap.parse_args(argv)
 
@@ -126,7 +122,7 @@ def main(argv: list[str] | None = None) -> int:
                   if p.kind == p.POSITIONAL_OR_KEYWORD and p.default is p.empty][1:]
     call_args = [kwargs.pop(p.name) for p in positional if p.name in kwargs]
     df = fn(tables, *call_args, **kwargs)
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite" if args.overwrite else "errorifexists")
     if args.format == "csv":
         writer = writer.option("header", "true")
     writer.format(args.format).save(args.out)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tally.functions.text import addr5, pg_concat
 from tally.functions.time import (
+    from_ny_wall,
     ny_date,
     ny_midnight_utc,
     ny_wall_before,
@@ -47,9 +48,9 @@ def acceleration_events(t: Tables, as_of: dt.date) -> DataFrame:
 def upsizes(t: Tables) -> DataFrame:
     """Positive principal adjustments with the time since authorization.
 
-    The source prints two columns named ``time_to_upsize``: the New York wall
-    time of the authorization date's UTC midnight (here ``authorized_at_et``)
-    and a difference that mixes a wall time with an instant. The latter is
+    The source prints two columns named ``time_to_upsize``: the instant of New
+    York midnight of the authorization date (here ``authorized_at_et``; the
+    inner conversion drops the zone, so the outer one goes from wall time) and a difference that mixes a wall time with an instant. The latter is
     built as meant: adjustment instant minus authorization instant, as an
     interval (``time_to_upsize``) and in microseconds.
     """
@@ -61,7 +62,7 @@ def upsizes(t: Tables) -> DataFrame:
         "adjustment_amount",
         ny_date(created).alias("lpa_created_at"),
         lpa["loan_id"],
-        to_ny_wall(F.to_date(authorized).cast("timestamp_ntz")).alias("authorized_at_et"),
+        from_ny_wall(F.to_date(authorized)).alias("authorized_at_et"),
         (created - authorized).alias("time_to_upsize"),
         (F.unix_micros(created.cast("timestamp"))
          - F.unix_micros(authorized.cast("timestamp"))).alias("time_to_upsize_micros"),

@@ -57,39 +57,23 @@ def target_loans(t: Tables, *, program: str, exclude_portfolio: str,
     return loans
 
 
-# Size bound for broadcasting the target loan ids (one small column).
-TARGET_BROADCAST_ROWS = 2_000_000
-
-
 def most_recent_snapshot(t: Tables, loans: DataFrame | None, cutoff: dt.date,
-                         tiebreak: Sequence[str] = SNAPSHOT_TIEBREAK,
-                         broadcast_rows: int = TARGET_BROADCAST_ROWS) -> DataFrame:
+                         tiebreak: Sequence[str] = SNAPSHOT_TIEBREAK) -> DataFrame:
     """Newest snapshot per target loan created (New York time) before ``cutoff``.
 
-    When the target loans are counted at no more than ``broadcast_rows``,
-    their ids are broadcast and the snapshots are restricted *before* the
-    per-loan pick (a map-side semi-join, no shuffle), so only the target
-    loans' snapshots are sorted. Beyond that bound the pick runs first (its
-    partial limit runs before its shuffle, so a loan with a third of all
-    snapshots costs one row per input split) and the restriction follows as
-    a semi-join on one row per loan. Both give the same rows, since the
-    restriction keeps or drops whole loans. ``loans=None``: no restriction
-    (the caller joins the loans itself).
+    The pick runs first: its partial limit runs before its shuffle, so a loan
+    with a third of all snapshots costs one row per input split. The
+    restriction to ``loans`` follows as a semi-join on one row per loan, for
+    which Spark chooses the strategy. ``loans=None``: no restriction (the
+    caller joins the loans itself).
     """
     snaps = (prune_months(t["loan_snapshots"], "created_at", hi=ny_midnight_utc(cutoff))
              .filter(ny_wall_before("created_at", cutoff)))
     cols = tiebreak_columns(snaps, tiebreak, exclude=["loan_id", "created_at"])
     order = [newest("created_at"), *map(newest, cols)]
-    if loans is None:
-        latest = latest_per_key(snaps, ["loan_id"], order)
-    else:
-        ids = loans.select(F.col("_id").alias("loan_id"))
-        # The check reads at most broadcast_rows + 1 ids, however many exist.
-        if ids.limit(broadcast_rows + 1).count() <= broadcast_rows:
-            snaps = snaps.join(F.broadcast(ids), "loan_id", "left_semi")
-            latest = latest_per_key(snaps, ["loan_id"], order)
-        else:
-            latest = latest_per_key(snaps, ["loan_id"], order).join(ids, "loan_id", "left_semi")
+    latest = latest_per_key(snaps, ["loan_id"], order)
+    if loans is not None:
+        latest = latest.join(loans.select(F.col("_id").alias("loan_id")), "loan_id", "left_semi")
     return latest.withColumn("credit_usage_dollars",
                              F.round(dollars("disbursed_cents_cleared", as_double=False), 2))
 
@@ -154,12 +138,16 @@ def _entries(t: Tables, cutoff: dt.date) -> tuple[DataFrame, Callable[[Column],
     tx = tx.filter(F.col("effective_date") < F.lit(cutoff)).select(
         F.col("_id").alias("ledger_transaction_id"))
     acc = acc.select(F.col("name").alias("account"), "normal_balance")
-    joined = e.join(tx, "ledger_transaction_id", "inner").join(acc, "account", "inner")
-    signed = F.col("amount") * F.col("normal_balance")
+    dated = e.join(tx, "ledger_transaction_id", "inner")
     if isinstance(e.schema["amount"].dataType, IntegralType):
-        impact, finish = signed, (lambda c: dollars(c, as_double=False))
+        # The sign is the account's, so the entries are summed before the few
+        # accounts are joined: no shuffle of single entries by account.
+        dated = dated.groupBy("loan_id", "account").agg(F.sum("amount").alias("amount"))
+        impact, finish = F.col("amount") * F.col("normal_balance"), (lambda c: dollars(c, as_double=False))
     else:
-        impact, finish = F.round(dollars(signed, as_double=False), 2), (lambda c: c)
+        impact = F.round(dollars(F.col("amount") * F.col("normal_balance"), as_double=False), 2)
+        finish = lambda c: c
+    joined = dated.join(acc, "account", "inner")
     return joined.select("loan_id", "account", impact.alias("impact")), finish
 
 

@@ -10,6 +10,7 @@ are decided on runtime sizes rather than guessed up front.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -80,7 +81,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent and the master is local (tests) is a
+    Only when the setting is absent and the master is one local JVM (tests) is a
     scratch folder created; on a cluster without the setting it raises rather
     than checkpoint to a machine-local folder.
     """
@@ -92,7 +93,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor "
                            "shares (HDFS, object store); a machine-local folder would be "
                            "lost with its executor")

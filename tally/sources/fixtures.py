@@ -168,8 +168,8 @@ VIEWS: dict[str, View] = {
                       "cast(round(l_extendedprice * 100) as bigint) % 400000 end"),
         ("tape_new_refunds", "case when l_linenumber % 3 <> 0 then "
                              "cast(round(l_extendedprice * 100) as bigint) % 1000 end"),
-        ("purchase_date", "cast(l_shipdate as date)"),
-    ), where="l_returnflag = 'R'"),
+        ("purchase_date", "case when l_returnflag = 'R' then cast(l_shipdate as date) end"),
+    )),
     "payments": View("orders", (
         ("_id", "o_orderkey"),
         ("loan_id", "o_orderkey"),

@@ -114,13 +114,18 @@ def run_settled_stream(spark: SparkSession, ledger_stream: DataFrame,
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+    if query.lastProgress is None or not any(p["numInputRows"] for p in query.recentProgress):
+        return spark.createDataFrame([], ledger_stream.schema)      # nothing arrived, nothing was written
     return current_from_changes(spark, out)
 
 
-def ledger_stream_from_events(spark: SparkSession, folder: str, schema: StructType | str,
-                              file_glob: str = "events*.parquet") -> DataFrame:
-    """The derived ``ledger`` table as a stream over the events files of ``folder``."""
+def ledger_stream_from_events(spark: SparkSession, folder: str,
+                              schema: StructType | str) -> DataFrame:
+    """The derived ``ledger`` table as a stream over the events table of ``folder``.
+
+    The table is one file or a folder of files; the pattern matches just its name.
+    """
     from tally.sources.fixtures import VIEWS
-    events = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-              .option("maxFilesPerTrigger", 64).parquet(folder))
+    events = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
+              .parquet(f"{folder.rstrip('/')}/events.parque[t]"))
     return events.select(*[F.expr(e).alias(c) for c, e in VIEWS["ledger"].columns])

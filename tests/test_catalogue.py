@@ -111,14 +111,20 @@ def test_materialised_shared_join_gives_same_report(spark):
     assert sorted(map(tuple, lazy.collect())) == sorted(map(tuple, kept.collect()))
 
 
-def test_snapshot_restriction_same_on_both_sides_of_the_size_check(spark):
-    import datetime as dt
-
-    from tally.plans import remittance as R
-    from tally.sources.fixtures import HOME_PROGRAM, TEST_PORTFOLIO, fixture_tables
-    t = fixture_tables(spark, SF_SMALL)
-    loans = R.target_loans(t, program=HOME_PROGRAM, exclude_portfolio=TEST_PORTFOLIO)
-    small = R.most_recent_snapshot(t, loans, dt.date(2000, 1, 1))
-    large = R.most_recent_snapshot(t, loans, dt.date(2000, 1, 1), broadcast_rows=0)
-    assert "BroadcastExchange" in plan_text(small)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+def test_building_the_tape_starts_no_job(spark):
+    names = ("most_recent_snapshot", "new_purchasable", "remittance_report")
+    spark.sparkContext.setJobGroup("building", "reports are lazy")
+    for name in names:
+        QUERIES[name](spark, SF_SMALL)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_entries_are_summed_before_the_accounts_are_joined(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(QUERIES["entry_impacts"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_account = plan.index("hashpartitioning(account")
+    assert "hashpartitioning(loan_id" in plan[by_account:]      # the sum lies below

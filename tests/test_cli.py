@@ -23,3 +23,18 @@ def test_cli_runs_external_ledger(spark):
     want = QUERIES["external_ledger_created_local"](spark, SF_SMALL)
     assert sorted(map(tuple, got.select(*want.columns).collect())) == \
         sorted(map(tuple, want.collect()))
+
+
+def test_parameters_are_read_by_annotation():
+    import datetime as dt
+    from collections.abc import Sequence
+
+    from tally.cli import parse_params
+
+    def report(t, slug: str | None, exclude_agents: Sequence[str], cutoff: dt.date, n: int, strict: bool = False):
+        pass
+
+    got = parse_params(report, ["slug=24E780", "exclude_agents=00123,55e10", "cutoff=2024-01-02", "n=3", "strict=yes"])
+    assert got == {"slug": "24E780", "exclude_agents": ["00123", "55e10"], "cutoff": dt.date(2024, 1, 2), "n": 3,
+                   "strict": True}
+    assert parse_params(report, ["slug=123456"]) == {"slug": "123456"}

@@ -101,3 +101,13 @@ def test_money_helpers(spark):
     assert row.z == 0 and row.neg == 0
     assert row.r == Decimal("-0.13")      # half away from zero
     assert row.h == "abcde"
+
+
+def test_new_york_midnight_of_a_date_is_the_reverse_conversion(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+    from tally.functions.time import from_ny_wall
+    rows = spark.createDataFrame([(dt.date(2024, 1, 15),), (dt.date(2024, 7, 1),)], "d date").select(
+        from_ny_wall(F.col("d"))).collect()
+    assert [r[0] for r in rows] == [dt.datetime(2024, 1, 15, 5), dt.datetime(2024, 7, 1, 4)]

@@ -51,3 +51,13 @@ def test_stream_matches_batch_across_batches(spark):
     want = sorted(r.event_id for r in
                   L.cleared_versions({"ledger": spark.createDataFrame(every, DDL)}).collect())
     assert got == want == [3, 5, 7]
+
+
+def test_stream_reads_a_table_of_several_files(spark):
+    from conftest import SF_SMALL
+    from tally.plans.catalogue import QUERIES
+    root = tempfile.mkdtemp(prefix="tally-stream-test-")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(3).write.parquet(f"{root}/events.parquet")
+    stream = QUERIES["ledger_unvoided_latest_stream"](spark, root).collect()
+    batch = QUERIES["ledger_unvoided_latest"](spark, SF_SMALL).collect()
+    assert sorted(map(tuple, stream)) == sorted(map(tuple, batch)) and batch

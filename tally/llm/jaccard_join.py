@@ -51,6 +51,7 @@ from tally.llm.textbytes import LOWER, SPACE, blocks, shingles
 FREQUENT_SHARE = 0.004
 CHUNK_DOCS = 2000
 FREQUENT_BOUND = 200_000        # entries of the broadcast order (8 bytes each)
+BROADCAST_COPIES = 2_000_000    # row numbers (8 bytes each) of copies that are broadcast, beyond it a shuffle join
 BROADCAST_IDS = 200_000         # rows of a broadcast id list, beyond it a shuffle join
 READ_COST = 0.2                 # of one more prefix shingle, in candidates
 MAX_MATCH = 8
@@ -268,10 +269,12 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     rows = saved(texts.mapInArrow(_sets(size, percent, max_match, late),
                                   f"uid long, id {id_type}, n long, print binary, prefix array<long>"), "jaccard-rows")
     classes = saved(rows.where("n > 0").groupBy("print").agg(
-        F.min(F.struct("uid", "id")).alias("first"), F.max("n").alias("n"))
-        .select("print", F.col("first.uid").alias("cls"), F.col("first.id").alias("id"), "n"), "jaccard-classes")
+        F.min(F.struct("uid", "id")).alias("first"), F.max("n").alias("n"), F.count("*").alias("members"))
+        .select("print", F.col("first.uid").alias("cls"), F.col("first.id").alias("id"), "n", "members"), "jaccard-classes")
 
-    postings = (rows.join(classes.select(F.col("cls").alias("uid")), "uid", "left_semi")
+    copies = saved(rows.where("n > 0").select("uid", "print").join(
+        classes.where("members > 1").select("print", "cls"), "print").where("uid <> cls").select("uid"), "jaccard-copies")
+    postings = (rows.where("n > 0").join(sized(copies, BROADCAST_COPIES), "uid", "left_anti")
                 .select(F.col("uid").alias("cls"), "n", F.posexplode("prefix").alias("pos", "token")))
     shared = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     base = F.expr(f"n - (({percent} * n + 99) div 100)")        # prefix of l shingles more

@@ -338,7 +338,12 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
               .where((F.col("cls_a") < F.col("cls_b")) & (F.col("grp_a") != F.col("grp_b"))
                      & fits(F.col("n_a"), F.col("n_b")) & (F.col("place_a") <= F.col("width_a") - needed)
                      & (F.col("place_b") <= F.col("width_b") - needed))
-              .select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct())
+              .select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"), needed.alias("need")).distinct())
+    # Of these, the pairs that share as many prefix shingles as they need (a prefix bounds each list).
+    held = saved(open_.groupBy("cls").agg(F.collect_list("token").alias("held")), "jaccard-held")
+    second = (saved(second, "jaccard-pairs").join(held.select(F.col("cls").alias("a"), F.col("held").alias("x")), "a")
+              .join(held.select(F.col("cls").alias("b"), F.col("held").alias("y")), "b")
+              .where(F.size(F.array_intersect("x", "y")) >= F.col("need")).select("a", "b"))
     rest = saved(second, "jaccard-second")
     late_ends = rest.select(F.col("a").alias("cls")).unionByName(rest.select(F.col("b").alias("cls"))).distinct()
     across = _verified(rest, _whole_sets(late_ends, docs, classes, text_col, id_col, size), percent)

@@ -319,24 +319,18 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
                           lambda x: x.isNotNull())
     rows = rows.withColumn("billable_account", F.explode(labels))
 
-    r = F.coalesce(F.col("has_reapp"), F.lit(False))
-    e = has_expired
-    is_expired = F.col("current_status") == "EXPIRED"
-    dated = F.col("origination_date").isNotNull()
-    undated = F.col("origination_date").isNull()
-    rules = (F.when(r & is_expired & dated, "REAPP_ORIGINAL_RULE1")
-              .when(e & ~r & is_expired & dated, "REAPP_ORIGINAL_RULE2")
-              .when(r & is_expired & undated, "REAPP_ORIGINAL_no_date")
-              .when(~r & e & is_expired & undated, "REAPP_ORIGINAL_no_date_expired")
-              .when(r, "REAPP_NEW_RULE1")
-              .when(~r & e, "REAPP_NEW_RULE2")
-              .otherwise("FALSE"))
-    results = (F.when(r & is_expired & undated, "FALSE")
-                .when(~r & e & is_expired & undated, "FALSE")
-                .when(r, "REAPP")
-                .when(~r & e, "REAPP")
-                .otherwise("FALSE"))
-    rows = rows.withColumn("reapplication_rules", rules).withColumn("reapplication_results", results)
+    # Rule 1: reapplied here; rule 2: a loan here lapsed. An expired loan is an
+    # original one, told apart by having an origination date; others are new.
+    rule = (F.when(F.coalesce(F.col("has_reapp"), F.lit(False)), 1)
+             .when(has_expired, 2).otherwise(0))
+    original = F.coalesce(F.col("current_status") == "EXPIRED", F.lit(False))
+    undated = original & F.col("origination_date").isNull()
+    label = F.concat(F.when(original, "REAPP_ORIGINAL").otherwise("REAPP_NEW"),
+                     F.when(undated, F.when(rule == 1, "_no_date").otherwise("_no_date_expired"))
+                      .otherwise(F.concat(F.lit("_RULE"), rule)))
+    rows = (rows.withColumn("reapplication_rules", F.when(rule > 0, label).otherwise("FALSE"))
+                .withColumn("reapplication_results",
+                            F.when((rule > 0) & ~undated, "REAPP").otherwise("FALSE")))
 
     both = None if amount_min is None or amount_max is None else (amount_min, amount_max)
     rows = optional_filters(rows, [

@@ -105,11 +105,14 @@ def page_captures(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def op7_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every revisit of the crawl derived from ``pages``, resolved; headers as name=value lines."""
+    """Every revisit of the crawl derived from ``pages``, resolved; headers as name=value lines.
+
+    ``payload_bytes`` is null where nothing was resolved and so a double, which both engines hand to pandas alike.
+    """
     rows = resolve_revisits(*page_captures(table(spark, sf_dir, "pages")))
     lines = F.transform("headers", lambda h: F.concat(F.lower(h["name"]), F.lit("="), h["value"]))
     return rows.select("record_id", "url_key", "response_id", "status", F.array_join(lines, "\n").alias("headers"),
-                       "payload_digest", "payload_bytes")
+                       "payload_digest", F.col("payload_bytes").cast("double").alias("payload_bytes"))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,6 +196,6 @@ SELECT 'v' || page_id AS record_id, url_key, 'r' || of_id AS response_id, status
               'last-modified=' || changed, 'cache-control=max-age=3600', 'date=' || late, 'expires=' || (late + 3600))
        END AS headers,
        CASE WHEN status = 'resolved' THEN of_digest END AS payload_digest,
-       CASE WHEN status = 'resolved' THEN of_bytes END AS payload_bytes
+       CAST(CASE WHEN status = 'resolved' THEN of_bytes END AS DOUBLE) AS payload_bytes
 FROM judged
 """}

@@ -57,6 +57,19 @@ def first_value_per_key(df: DataFrame, keys: Sequence[str], ts: str,
     return df.groupBy(*keys).agg(value.alias(alias or ts))
 
 
+def latest_facts(df: DataFrame, key: str, ts: str, facts: Sequence[str],
+                 tiebreak: Sequence[str]) -> DataFrame:
+    """Newest row per key, of which only the key, ``ts`` and ``facts`` are wanted.
+
+    Ties end with the (unique) ``tiebreak`` columns if the table has them all,
+    else with the facts themselves: rows alike in all of them give one result.
+    No other column is read, sorted by or shuffled.
+    """
+    ends = list(tiebreak) if all(c in df.columns for c in tiebreak) else sorted(facts)
+    rows = df.select(*dict.fromkeys([key, ts, *facts, *ends]))
+    return latest_per_key(rows, [key], [newest(c) for c in (ts, *ends)])
+
+
 def tiebreak_columns(df: DataFrame, preferred: Sequence[str],
                      exclude: Sequence[str] = ()) -> list[str]:
     """Columns that finish an ordering deterministically.

@@ -34,6 +34,7 @@ from tally.sources.fixtures import (
 # Fixed report parameters for the derived data.
 EVENT_AS_OF = dt.date(2024, 1, 20)            # ledger / event reports
 SNAPSHOT_AS_OF = dt.date(2000, 1, 1)          # snapshot reports
+LEDGER_END = dt.datetime(2024, 1, 16)          # end date of the first/last ledger (exclusive)
 CUTOFF = dt.date(2000, 1, 1)                  # remittance period cutoff (exclusive)
 GENERATED_AT = dt.datetime(2024, 1, 20, 12, 5)
 GENERATED_ON = dt.date(2024, 1, 20)
@@ -98,6 +99,11 @@ def external_ledger_first_last(spark, sf_dir):
                                         generated_at=GENERATED_AT)
 
 
+def external_ledger_first_last_until(spark, sf_dir):
+    return L.external_ledger_first_last(_t(spark, sf_dir), program=AGENT_PROGRAM,
+                                        generated_at=GENERATED_AT, end_date=LEDGER_END)
+
+
 def early_month_totals(spark, sf_dir):
     return L.early_month_cleared_totals(_t(spark, sf_dir), EVENT_AS_OF)
 
@@ -144,6 +150,11 @@ def reapplication_report_filtered(spark, sf_dir):
                                   exclude_users=EXCLUDE_USERS, **FILTERED_REPORT_ARGS)
 
 
+def reapplication_report_strict(spark, sf_dir):
+    return N.reapplication_report(_t(spark, sf_dir), test_agents=TEST_AGENTS,
+                                  exclude_users=EXCLUDE_USERS, strict_address=True)
+
+
 def most_recent_snapshot(spark, sf_dir):
     t = _t(spark, sf_dir)
     loans = R.target_loans(t, program=HOME_PROGRAM, exclude_portfolio=TEST_PORTFOLIO)
@@ -223,6 +234,7 @@ _RAW_QUERIES: dict[str, Query] = {
     "external_ledger_effective": _external("effective"),
     "external_ledger_effective_only": _external("effective_only"),
     "external_ledger_first_last": external_ledger_first_last,
+    "external_ledger_first_last_until": external_ledger_first_last_until,
     "early_month_totals": early_month_totals,
     "merchant_spend": merchant_spend,
     "acceleration_events": acceleration_events,
@@ -234,6 +246,7 @@ _RAW_QUERIES: dict[str, Query] = {
     "first_expired_authorization": first_expired_authorization,
     "reapplication_report": reapplication_report,
     "reapplication_report_filtered": reapplication_report_filtered,
+    "reapplication_report_strict": reapplication_report_strict,
     "most_recent_snapshot": most_recent_snapshot,
     "investor_tape_totals": investor_tape_totals,
     "new_purchasable": new_purchasable,

@@ -18,7 +18,7 @@ from tally.functions.time import (
     pg_to_char,
     to_ny_wall,
 )
-from tally.operators.latest import latest_per_key, newest, oldest, tiebreak_columns
+from tally.operators.latest import latest_facts, oldest
 from tally.operators.materialize import materialize
 from tally.operators.optional import optional_filters
 from tally.operators.partitions import prune_months
@@ -26,6 +26,8 @@ from tally.operators.partitions import prune_months
 Tables = Mapping[str, DataFrame]
 
 SNAPSHOT_TIEBREAK = ("line", "part")
+SNAPSHOT_FACTS = ("status", "active_acceleration_event_date", "active_acceleration_event_type",
+                  "first_disbursement_datetime", "last_repayment_datetime", "repayment_status")
 
 
 def acceleration_events(t: Tables, as_of: dt.date) -> DataFrame:
@@ -73,12 +75,11 @@ def _snapshots_as_of(t: Tables, as_of: dt.date, tiebreak: Sequence[str]) -> Data
     """Newest snapshot per loan created (New York time) at or before ``as_of`` midnight.
 
     The source keeps an arbitrary row per loan; this keeps the newest, ties
-    broken by ``tiebreak`` (or by every other column if the table lacks it).
+    broken by ``tiebreak`` (or by the reported columns if the table lacks it).
     """
     s = prune_months(t["loan_snapshots"], "created_at", hi=ny_midnight_utc(as_of))
     rows = s.filter(ny_wall_before("created_at", as_of, inclusive=True))
-    cols = tiebreak_columns(rows, tiebreak, exclude=["loan_id", "created_at"])
-    return latest_per_key(rows, ["loan_id"], [newest("created_at"), *map(newest, cols)])
+    return latest_facts(rows, "loan_id", "created_at", SNAPSHOT_FACTS, tiebreak)
 
 
 def _snapshot_columns() -> list[Column]:

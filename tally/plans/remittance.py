@@ -18,7 +18,7 @@ from pyspark.sql.types import IntegralType
 from tally.functions.money import dollars
 from tally.functions.text import pg_concat
 from tally.functions.time import ny_midnight_utc, ny_wall_before, pg_to_char
-from tally.operators.latest import latest_per_key, newest, tiebreak_columns
+from tally.operators.latest import latest_facts
 from tally.operators.partitions import prune_months
 from tally.operators.pivot import pivot_sums
 
@@ -57,6 +57,10 @@ def target_loans(t: Tables, *, program: str, exclude_portfolio: str,
     return loans
 
 
+# What the tape takes from a loan's newest snapshot.
+TAPE_FACTS = ("status", "disbursed_cents_cleared", "principal_cents", "days_past_due")
+
+
 def most_recent_snapshot(t: Tables, loans: DataFrame | None, cutoff: dt.date,
                          tiebreak: Sequence[str] = SNAPSHOT_TIEBREAK) -> DataFrame:
     """Newest snapshot per target loan created (New York time) before ``cutoff``.
@@ -69,9 +73,7 @@ def most_recent_snapshot(t: Tables, loans: DataFrame | None, cutoff: dt.date,
     """
     snaps = (prune_months(t["loan_snapshots"], "created_at", hi=ny_midnight_utc(cutoff))
              .filter(ny_wall_before("created_at", cutoff)))
-    cols = tiebreak_columns(snaps, tiebreak, exclude=["loan_id", "created_at"])
-    order = [newest("created_at"), *map(newest, cols)]
-    latest = latest_per_key(snaps, ["loan_id"], order)
+    latest = latest_facts(snaps, "loan_id", "created_at", TAPE_FACTS, tiebreak)
     if loans is not None:
         latest = latest.join(loans.select(F.col("_id").alias("loan_id")), "loan_id", "left_semi")
     return latest.withColumn("credit_usage_dollars",
@@ -109,8 +111,7 @@ def new_purchasable(t: Tables, *, cutoff: dt.date, program: str, exclude_portfol
 def nsf_repayments(t: Tables, tiebreak: Sequence[str] = STATUS_TIEBREAK) -> DataFrame:
     """Failed payments whose latest bank status reports insufficient funds."""
     raw = t["payment_statuses"]
-    cols = tiebreak_columns(raw, tiebreak, exclude=["payment_slug", "created_at"])
-    statuses = latest_per_key(raw, ["payment_slug"], [newest("created_at"), *map(newest, cols)])
+    statuses = latest_facts(raw, "payment_slug", "created_at", ["payload"], tiebreak)
     bank = statuses.select(
         F.get_json_object("payload", "$.transactionStatus").alias("bank_status"),
         F.get_json_object("payload", "$.exceptions").alias("bank_exceptions"),

@@ -128,3 +128,11 @@ def test_entries_are_summed_before_the_accounts_are_joined(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     by_account = plan.index("hashpartitioning(account")
     assert "hashpartitioning(loan_id" in plan[by_account:]      # the sum lies below
+
+
+def test_reports_come_in_their_order(spark):
+    """O-1, O-2: users first to last, brands by falling transaction counts."""
+    users = [r.user_id for r in QUERIES["reapplication_report"](spark, SF_SMALL).collect()]
+    assert users == sorted(users)
+    counts = [r.transactions for r in QUERIES["merchant_spend"](spark, SF_SMALL).collect()]
+    assert counts == sorted(counts, reverse=True)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 import tempfile
 
 from conftest import SF_SMALL
@@ -130,3 +131,17 @@ def test_jdbc_slices_cover_each_row_once():
     assert sum(counts) == 100 and all(c > 0 for c in counts)
     pg = slice_predicates("transaction_id", 3)
     assert pg[2] == ("((hashtext(coalesce(transaction_id::text, '')) % 3) + 3) % 3 = 2")
+
+
+def test_newest_snapshot_reads_only_reported_columns(spark, tmp_path):
+    """Without a unique key, ties end with the reported columns: the scan stays narrow."""
+    from tally.plans import loans, remittance
+    for name in ("loan_snapshots", "loans"):
+        spark.createDataFrame([], SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}")
+    t = read_tables(spark, str(tmp_path))
+    day = dt.date(2024, 1, 1)
+    tape = remittance.most_recent_snapshot(t, None, day).select("loan_id", "days_past_due")
+    for report, unread in ((tape, "active_acceleration_event_type"),
+                           (loans.loan_snapshots_current(t, day), "principal_cents")):
+        scans = re.findall(r"ReadSchema: (\S+)", report._jdf.queryExecution().toString())
+        assert scans and not any(unread in s for s in scans)

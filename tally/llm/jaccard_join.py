@@ -40,7 +40,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.components import components
@@ -282,7 +282,9 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         "token", "cls", "n", "df", (F.col("pos") - base + 1).alias("least_l")), "jaccard-postings")
 
     # The cheapest l of each class, from its shared prefix shingles in the order of their frequency.
-    own = found.groupBy("cls", "n").agg(F.sort_array(F.collect_list(F.struct("df", "least_l"))).alias("own"))
+    # One shuffle brings a class's rows together; its list is as long as its prefix at most.
+    own = found.repartition("cls").groupBy("cls", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token", "least_l"))).alias("own"))
 
     def cost(k: int):
         held = F.filter("own", lambda x: x["least_l"] <= k)
@@ -295,13 +297,13 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     # rate: mean number of other documents that hold a shingle of the prefix
     rate = F.aggregate("own", F.lit(0.0), lambda a, x: a + x["df"] - 1.0) / (base + max_match)
     options = sorted({1, 2, 4, max_match})
-    chosen = own.select("cls", rate.alias("rate"), F.array_min(F.array(*[
+    chosen = own.select("cls", "n", "own", rate.alias("rate"), F.array_min(F.array(*[
         F.struct(cost(k).alias("cost"), F.lit(k).alias("l")) for k in options if k <= max_match]))["l"].alias("l"))
-    by_rarity = Window.partitionBy("cls").orderBy("df", "token")
-    used = saved(found.join(chosen, "cls").where("least_l <= l").withColumn("width", base + F.col("l"))
-                 .withColumn("place", F.row_number().over(by_rarity) - 1 + F.col("width")
-                             - F.count("*").over(Window.partitionBy("cls")))
-                 .select("token", "cls", "n", "l", "rate", "width", "place"), "jaccard-prefixes")
+    # place: that of a shingle in the class's prefix by rarity, those of no other document first
+    held = chosen.withColumn("width", base + F.col("l")).withColumn("own", F.filter("own", lambda x: x["least_l"] <= F.col("l")))
+    used = saved(held.select("cls", "n", "l", "rate", "width", F.size("own").alias("count"), F.posexplode("own").alias("pos", "x"))
+                 .select("x.token", "cls", "n", "l", "rate", "width", (F.col("pos") + F.col("width") - F.col("count")).alias("place")),
+                 "jaccard-prefixes")
 
     # Round 1: each class against the centre it shares most prefix shingles with.
     fits = lambda n, m: (100 * F.least(n, m) >= percent * F.greatest(n, m))

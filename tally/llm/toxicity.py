@@ -220,11 +220,11 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray, *, id_col
     spark = prepare(docs.sparkSession)
     sample = saved(labelled_sample(labels.where(F.col(label_col).isNotNull()).select(
         F.col(id_col).alias("_label_id"), (F.col(label_col) == 1).alias("_toxic")), "_label_id", bound), "labelled")
-    # Copies are no evidence of their own: of training texts with one smallest word hash, one counts.
+    # Copies are no evidence of their own: texts that differ in case and white space only count once a label.
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    least = F.array_min(F.transform(F.split("text", r"\s+"), lambda w: F.xxhash64(w)))
+    plain = F.trim(F.regexp_replace(F.lower("text"), r"\s+", " "))
     training = saved(docs.join(F.broadcast(sample), F.col(id_col) == F.col("_label_id"))
-                     .select(text.alias("text"), "_toxic").groupBy(least.alias("_least"), "_toxic")
+                     .select(text.alias("text"), "_toxic").groupBy(F.sha2(plain.cast("binary"), 256).alias("_same"), "_toxic")
                      .agg(F.min("text").alias("text")), "training")
     size = {r["_toxic"]: r["count"] for r in training.groupBy("_toxic").count().collect()}
     toxic, total = size.get(True, 0), sum(size.values())

@@ -52,6 +52,18 @@ def test_awkward_rows(spark, documents, labels):
     assert mix(empty, queries.labelled_domains(known), {"clean": 1.0}).count() == 0
 
 
+def test_lexicon_counts_every_different_text(spark, documents):
+    from tally.llm.toxicity import character_model, fit_lexicon
+    common = " ".join(f"common{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20))    # holds the least hash of all
+    rows = [(i, f"{common} {'zorgle' if i < 12 else 'gentle'} x{i}") for i in range(60)]
+    rows += [(100 + i, f"{common}  ONCE{' ' * i} said") for i in range(12)]                         # one text, copied
+    labels = spark.createDataFrame([(d, 1, int(d < 12 or d >= 100)) for d, _ in rows], LABELS)
+    docs = documents(rows)
+    lexicon, floor = fit_lexicon(docs, labels, character_model(docs))
+    assert "zorgle$" in lexicon and "gentle$" not in lexicon and "once$" not in lexicon
+    assert floor == (13 / 61) ** 2
+
+
 def test_restoring_words(spark, documents):
     from tally.llm.toxicity import Restorer, character_model
     model = character_model(documents([(i, "the moron and the idiot said stupid things about pathetic scum") for i in range(50)]))

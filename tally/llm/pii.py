@@ -5,11 +5,12 @@ miss but the rest of the document speaks for. Its nodes are mentions: maximal
 strings of address or number characters, and the base spans, which are
 observed. Node potentials are those of a naive Bayes model of mention shapes,
 fitted on a bounded sample of documents with the base spans as labels. Chain
-edges join mentions next to each other, skip edges join a mention to the next
-one of the same content (equal letters and digits, equal digits without a
-country code, or an equal address): such a pair shares a potential that favours
-one label for both. Sum-product message passing runs over all documents of a
-batch at once for a fixed number of rounds; a mention whose belief in a kind
+edges join mentions next to each other, skip edges join all mentions of one
+content in a document (equal letters and digits, equal digits without a country
+code, or an equal address) to a hub, however many and far apart they are: a pair
+shares a potential that favours one label for both. A hub with base spans among
+its mentions has their kind. Sum-product message passing runs over all documents
+of a batch at once until the messages settle; a mention whose belief in a kind
 reaches ``CONFIDENCE`` becomes a span, unless it overlaps a base span or breaks
 its kind's form.
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -50,10 +52,12 @@ _NOT_WORD = re.compile("[^0-9a-z]+")
 
 SAMPLE_DOCS = 20_000        # documents with mentions that the shapes are fitted on, at most
 CHAIN_CHARS = 40            # mentions closer than this share a chain edge
-ROUNDS = 6
+SETTLED = 1e-6              # change of a message below which it has settled
+ROUNDS = 1000               # after which messages that still swing are an error
 CONFIDENCE = 0.8
 SAME, NEXT = 6.0, 0.2       # log potentials of equal labels along skip and chain edges
 DOUBT = 4.0                 # log odds that a shape alone can speak against a kind, at most
+NEVER = -1e9                # log potential of what base spans rule out, whatever any number of messages say
 SHAPES = 1 << 12
 
 
@@ -180,13 +184,19 @@ def _beliefs(unary: np.ndarray, left: np.ndarray, right: np.ndarray, weight: np.
         np.add.at(total, target, np.log(message))
         return total
 
-    for _ in range(ROUNDS if len(source) else 0):
+    change, rounds = float(len(source) > 0), 0
+    while change > SETTLED:
+        if rounds == ROUNDS:
+            raise RuntimeError(f"messages still change by {change} after {ROUNDS} rounds")
+        rounds += 1
         cavity = gathered()[source] - np.log(message[back])
         cavity = np.exp(cavity - cavity.max(axis=1, keepdims=True))
         # sum over the sender's labels: one for different labels, e^weight for equal ones
         new = cavity.sum(axis=1, keepdims=True) + (same - 1.0) * cavity
         new /= new.sum(axis=1, keepdims=True)
-        message = np.maximum(0.5 * message + 0.5 * new, 1e-12)
+        new = np.maximum(0.5 * message + 0.5 * new, 1e-12)
+        change = np.abs(new - message).max()
+        message = new
     total = gathered()
     p = np.exp(total - total.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
@@ -199,6 +209,24 @@ def _form(kind: str, s: str) -> bool:
             "card": 12 <= n <= 19, "phone": 7 <= n <= 15}[kind]
 
 
+def _alike(forms: list[str]) -> list[int]:
+    """For every mention the first one that it shares its content with, by any chain of equal keys."""
+    root = list(range(len(forms)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    first: dict[str, int] = {}
+    for i, form in enumerate(forms):
+        for key in _keys(form):
+            a, b = find(first.setdefault(key, i)), find(i)
+            root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(forms))]
+
+
 def added_spans(texts: list[str], bases: list[list], model: np.ndarray) -> list[list[tuple[int, int, int]]]:
     """The field's spans (kind, start, end) of each text."""
     out: list[list] = [[] for _ in texts]
@@ -208,35 +236,46 @@ def added_spans(texts: list[str], bases: list[list], model: np.ndarray) -> list[
         own = mentions(text, base)
         if all(k >= 0 for _, _, k in own):
             continue                    # nothing to decide
-        last: dict[str, int] = {}
+        alike = _alike([text[s:e] for s, e, _ in own])
+        size = Counter(alike)
+        seen: dict[int, Counter] = {}
+        for root, (_, _, k) in zip(alike, own):
+            if k >= 0:
+                seen.setdefault(root, Counter())[k] += 1
+        hubs: dict[int, int] = {}
         before = None
-        for s, e, k in own:
+        for root, (s, e, k) in zip(alike, own):
+            if size[root] > 1 and root not in hubs:
+                hubs[root] = len(nodes)
+                nodes.append(None)
+                kinds = seen.get(root)
+                most = [x for x, n in kinds.items() if n == max(kinds.values())] if kinds else range(none + 1)
+                unary.append(np.where(np.isin(np.arange(none + 1), most), 0.0, NEVER))
             here, form = len(nodes), text[s:e]
             nodes.append((t, s, e, k))
             # the features of a shape say much the same, so their mean counts
             score = (model[:, SHAPES] + model[:, _shape(form)].sum(axis=1)) / 8.0
             score = np.maximum(score, score.max() - DOUBT)
             if k >= 0:
-                score = np.full(none + 1, -30.0)
+                score = np.full(none + 1, NEVER)
                 score[k] = 0.0
+            elif root in hubs:          # a base span's kind is the hub's already
+                left.append(hubs[root])
+                right.append(here)
+                weight.append(SAME)
             unary.append(score - score.max())
-            joined = set()
-            for key in _keys(form):
-                if key in last and last[key] not in joined:
-                    joined.add(last[key])
-                    left.append(last[key])
-                    right.append(here)
-                    weight.append(SAME)
-                last[key] = here
-            if before is not None and s - before[1] <= CHAIN_CHARS and before[0] not in joined:
+            if before is not None and s - before[1] <= CHAIN_CHARS and before[2] != root:
                 left.append(before[0])
                 right.append(here)
                 weight.append(NEXT)
-            before = (here, e)
+            before = (here, e, root)
     if not nodes:
         return out
     p = _beliefs(np.array(unary), np.array(left, np.int64), np.array(right, np.int64), np.array(weight))
-    for (t, s, e, k), belief in zip(nodes, p):
+    for node, belief in zip(nodes, p):
+        if node is None:
+            continue
+        t, s, e, k = node
         best = int(np.argmax(belief))
         if k < 0 and best != none and belief[best] >= CONFIDENCE and _form(KINDS[best], texts[t][s:e]):
             out[t].append((best, s, e))

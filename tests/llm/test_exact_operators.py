@@ -173,6 +173,17 @@ def test_personal_data(spark, documents):
     assert got[200]["masked"] is None and base_spans("") == []
 
 
+def test_one_label_for_far_repeats(spark, documents):
+    far = " ".join(["and then they wrote about something else"] * 20)
+    call, mail = "(504) 555-2652", "a.b (at) c (dot) org"
+    text = f"call +1 {call} {far} " + f" {far} ".join([call] * 10) + f" {far} a.b@c.org {far} " + f" {far} ".join([mail] * 300)
+    many = [(i, f"Write to user{i}@mail{i % 3}.example.com or +1 (555) 555-{1000 + i} or 10.1.2.{i}") for i in range(60)]
+    many += [(100 + i, f"part ({100 + i}) 555-{2000 + i}, " * 3) for i in range(60)]       # shapes against a phone
+    row = find_pii(documents([*many, (1000, text)])).where("doc_id = 1000").select(span_list("added").alias("added")).first()
+    found = [(kind, text[int(a):int(b)]) for kind, a, b in (s.split(":") for s in row["added"].split(","))]
+    assert found == [("email", mail)] * 300 + [("phone", call)] * 10
+
+
 def test_kth_largest(spark):
     rng = random.Random(3)
     values = [rng.choice([rng.gauss(0, 1), 0.5, 1e300, -1e-300]) for _ in range(20000)]

@@ -4,11 +4,13 @@ Built-in functions only. Every text is measured once; the measures are
 written, summarised as KLL sketches per (language, source), and the sketches
 are merged to languages and to the whole, so that no value is read again. A
 group's limit for a measure is a fence around its middle: median plus
-``FENCE`` times the distance to the upper quartile (and likewise below, for
-two-sided measures), at least ``RESOLUTION`` wide. Groups of fewer than
+``FENCE`` times the distance to a quantile above it (and likewise below, for
+two-sided measures). That is the upper quartile for word lengths, and a tail
+quantile for the shares, which are zero for most rows. Groups of fewer than
 ``MIN_GROUP`` rows take the limits of their language, small languages those of
-the whole. The limits are joined to the measures and rows beyond any limit
-are rejected, besides those that fail the base rules.
+the whole. The limits are joined to the measures and rows beyond any limit by
+more than one unit of their own (a symbol, a line, a repeated window, a
+character) are rejected, besides those that fail the base rules.
 
 Null and empty texts have no words and fail the base rules. Null languages and
 sources are groups like others. Rows are measured on their own: repeats and
@@ -28,9 +30,11 @@ FENCE = 6.0
 MIN_GROUP = 100
 SKETCH_K = 400              # sketch size: rank error under 1 %
 GAP = r"[ \t\n\x0B\f\r]+"
-#: measure -> smallest width of its fence, and whether low values are rejected too
-MEASURES = {"symbol_share": (0.05, False), "dup_line_share": (0.25, False), "repeat_share": (0.2, False),
-            "word_length": (1.5, True)}
+TAIL = 0.9                  # quantile that the spread of shares is taken to
+#: measure -> its count, what that is divided by, the smallest step of the count, the quantile that its spread is
+#: taken to, and whether low values are rejected too. A window that occurs twice covers six words.
+MEASURES = {"symbol_share": ("n_symbols", "word_chars", 1, TAIL, False), "dup_line_share": ("n_dup_lines", "n_lines", 1, TAIL, False),
+            "repeat_share": ("n_repeat_words", "n_words", 6, TAIL, False), "word_length": ("word_chars", "n_words", 1, 0.75, True)}
 
 
 def base_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -73,11 +77,10 @@ def limits(measured: DataFrame, lang_col: str = "lang", source_col: str = "sourc
 
     def fences(sketches: DataFrame, level: str) -> DataFrame:
         out = []
-        for m, (least, low) in MEASURES.items():
-            q1, q2, q3 = (F.kll_sketch_get_quantile_double(F.col(m), F.lit(q)) for q in (0.25, 0.5, 0.75))
-            out.append((q2 + F.greatest(FENCE * (q3 - q2), F.lit(least))).alias(f"hi_{m}_{level}"))
-            out.append(((q2 - F.greatest(FENCE * (q2 - q1), F.lit(least))) if low else F.lit(float("-inf")))
-                       .alias(f"lo_{m}_{level}"))
+        for m, (*_, tail, low) in MEASURES.items():
+            below, middle, above = (F.kll_sketch_get_quantile_double(F.col(m), F.lit(q)) for q in (1 - tail, 0.5, tail))
+            out.append((middle + FENCE * (above - middle)).alias(f"hi_{m}_{level}"))
+            out.append((middle - FENCE * (middle - below) if low else F.lit(float("-inf"))).alias(f"lo_{m}_{level}"))
         keys = [c for c in (lang_col, source_col) if c in sketches.columns]
         return sketches.select(*keys, F.col("rows").alias(f"rows_{level}"), *out)
 
@@ -100,12 +103,13 @@ def judge(docs: DataFrame, *, keep: list[str] | None = None, text_col: str = "te
     rows = docs.select(*[F.col(c).alias(f"_keep{i}") for i, c in enumerate(kept)], F.col(text_col).alias("text"),
                        F.col(lang_col).alias("_lang_of"), F.col(source_col).alias("_source_of"))
     rows = base_measures(rows).drop("text")
-    share = lambda x, y: F.col(x) / F.greatest(F.col(y), F.lit(1))
-    rows = rows.withColumns({"symbol_share": share("n_symbols", "word_chars"), "dup_line_share": share("n_dup_lines", "n_lines"),
-                             "repeat_share": share("n_repeat_words", "n_words"), "word_length": share("word_chars", "n_words")})
+    least = lambda m: F.greatest(F.col(MEASURES[m][1]), F.lit(1))
+    rows = rows.withColumns({m: F.col(n) / least(m) for m, (n, *_) in MEASURES.items()})
     rows = saved(rows, "rule-measures")
     bounds = limits(rows, "_lang_of", "_source_of").withColumnsRenamed({"_lang_of": "_l", "_source_of": "_s"})
-    inside = reduce(lambda a, b: a & b, [F.col(m).between(F.col(f"lo_{m}"), F.col(f"hi_{m}")) for m in MEASURES])
+    unit = lambda m: F.lit(float(MEASURES[m][2])) / least(m)
+    inside = reduce(lambda a, b: a & b, [F.col(m).between(F.col(f"lo_{m}") - unit(m), F.col(f"hi_{m}") + unit(m))
+                                         for m in MEASURES])
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     joined = rows.join(bounds, F.col("_lang_of").eqNullSafe(F.col("_l")) & F.col("_source_of").eqNullSafe(F.col("_s")))
     return joined.select(

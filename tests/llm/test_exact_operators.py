@@ -144,6 +144,30 @@ def test_base_measures(spark, documents):
         assert not (r["kept"] and r["base_failed"])
 
 
+def test_limits_follow_the_rows(spark):
+    rng = random.Random(17)
+
+    def text(dup=0, symbols=0, lengths=(4, 5, 6)):
+        lines = [[rng.choice("abcdefghijklmnop") + f"{rng.randrange(10 ** 9):09}"[:rng.choice(lengths) - 1] for _ in range(10)]
+                 for _ in range(25)]
+        for k in range(dup):
+            lines[2 * k + 1] = lines[2 * k]
+        for k in range(symbols):
+            lines[k % 25][k // 25] = "#" + lines[k % 25][k // 25][1:]
+        return "\n".join(" ".join(x) for x in lines)
+    rows = [(i, text(), "de", "plain") for i in range(200)]
+    rows += [(1000 + i, text(dup=rng.choice([0, 2, 4])), "de", "lists") for i in range(200)]     # where copied lines are usual
+    odd = {"lines": text(dup=4), "symbols": text(symbols=50), "length": text(lengths=(6, 6, 6, 6, 7)), "one": f"so on\nso on\n{text()}",
+           "sign": text(symbols=1)}
+    rows += [(2000 + i, t, "de", "plain") for i, t in enumerate(odd.values())]
+    rows += [(3000, odd["lines"], "de", "lists"), (3001, odd["symbols"], "de", "lists")]
+    kept = {r["doc_id"]: r["kept"] for r in judge(spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert [kept[2000 + i] for i in range(5)] == [False, False, False, True, True]
+    assert kept[3000] and not kept[3001]
+    assert all(kept[i] and kept[1000 + i] for i in range(200))
+
+
 def test_token_counts(spark, documents):
     from tokenizers import Tokenizer
     path = queries.tokenizer_path()

@@ -1,12 +1,15 @@
 """Toxicity by noisy-channel deobfuscation.
 
 A character trigram model is counted over all documents. Suspicious tokens
-(letters mixed with digits or marks, letters spaced out, letters repeated
-three times or more) are decoded: every symbol of the token is a column of a
-lattice, whose edges emit the letters that the symbol may stand for, or nothing
-for separators and repeats, at a channel cost; Viterbi search finds the
-likeliest letters under the trigram model. Marks at the ends of a token are cut
-off. The restored text is then scored.
+(letters mixed with digits or marks, digits and marks that may stand for
+letters, letters spaced out, letters repeated three times or more) are decoded
+at any length: every symbol of the token is a column of a lattice, whose edges
+emit the letters that the symbol may stand for, or nothing for separators and
+repeats, at a channel cost; Viterbi search finds the likeliest letters under the
+trigram model. Tokens with separators are also decoded with edges that emit a
+word boundary for them, and count with the words of both readings, as tokens
+with marks at their ends do with and without these. The restored text is then
+scored.
 
 The score model is a lexicon of words and word beginnings: of the training
 rows (a bounded sample of labelled ones) it counts in how many toxic and other
@@ -38,7 +41,7 @@ from tally.llm.store import prepare, saved, schema_of
 
 #: The letters that a symbol may stand for besides itself (fixed values).
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
-        "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¥": "y"}
+        "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¥": "y", "#": "h"}
 SEPARATORS = " .-_*~'`^,:;/\\#%&="
 LEET_COST, SKIP_COST, DROP_MARK_COST, DROP_LEET_COST = 1.0, 0.2, 2.5, 7.0
 REPEAT_COST, DOUBLE_COST = 0.5, 4.0     # of dropping a repeat from a run of three or more, and from a double letter
@@ -55,6 +58,10 @@ PREFIXES = range(4, 9)
 
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_][ .\-_*]{1,2}){2,}[^\W_](?!\S)")
 _ENDS = re.compile(r"^\W+|\W+$")
+_EDGES = re.compile(rf"^[^\w{re.escape(''.join(LEET))}]+|[^\w{re.escape(''.join(LEET))}]+$")     # without marks that may be letters
+_LEET = re.compile(f"[{re.escape(''.join(LEET))}]")
+_RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
+_SEPARATED = re.compile(rf"[^{re.escape(SEPARATORS)}][{re.escape(SEPARATORS)}]+[^{re.escape(SEPARATORS)}]")
 _CLEAN = re.compile(r"^[^\W\d_]+$")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _LETTER = re.compile(r"[^\W\d_]")
@@ -104,10 +111,11 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.log((counts + 5.0 * two) / (counts.sum(axis=2, keepdims=True) + 5.0)).astype(np.float32)
 
 
-def decode(token: str, model: np.ndarray) -> str:
-    """The likeliest letters behind an obfuscated token (lower case)."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    token = token.lower()
+def decode(token: str, model: list, words: bool = False) -> str:
+    """The likeliest letters behind an obfuscated token (lower case); ``words``: separators may be word boundaries."""
+    # state: the last two symbols -> (score, the last letter, the path as (path before, text))
+    states: dict[tuple[int, int], tuple] = {(0, 0): (0.0, "", None)}
+    token = _RUN.sub(r"\1\1\1", token.lower())      # from three on, more of a symbol say nothing
     for i, c in enumerate(token):
         options: list[tuple[str, float]] = []
         letter = c.isalpha()
@@ -118,57 +126,82 @@ def decode(token: str, model: np.ndarray) -> str:
             options.append(("", SKIP_COST))
         elif not letter:
             options.append(("", DROP_LEET_COST if c in LEET else DROP_MARK_COST))
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, out) in states.items():
-            for x, cost in options:
+        emitted = [(x, _INDEX.get(x, SIZE - 1) if x else 0, cost) for x, cost in options]
+        boundary = words and c in SEPARATORS
+        again = {c} if letter else set(LEET.get(c, ""))
+        repeat = REPEAT_COST if token[max(0, i - 2):i + 3].count(c) > 2 else DOUBLE_COST
+        new: dict[tuple[int, int], tuple] = {}
+        for (a, b), state in states.items():
+            score, last, path = state
+            follow = model[a][b]
+            for x, k, cost in emitted:
                 if not x:
-                    key, value = (a, b), score - cost
+                    value = score - cost
+                    if (a, b) not in new or value > new[a, b][0]:
+                        new[a, b] = (value, last, path)
                 else:
-                    k = _INDEX.get(x, SIZE - 1)
-                    key, value = (b, k), score - cost + float(model[a, b, k])
-                text = out + x
-                if key not in new or value > new[key][0]:
-                    new[key] = (value, text)
-            if letter and out and out[-1] == c:         # one more of a repeated letter
-                value = score - (REPEAT_COST if token[max(0, i - 2):i + 3].count(c) > 2 else DOUBLE_COST)
-                if (a, b) not in new or value > new[(a, b)][0]:
-                    new[(a, b)] = (value, out)
+                    value = score - cost + follow[k]
+                    if (b, k) not in new or value > new[b, k][0]:
+                        new[b, k] = (value, x, (path, x))
+            if boundary and b:
+                value = score - SKIP_COST + follow[0]
+                if (0, 0) not in new or value > new[0, 0][0]:
+                    new[0, 0] = (value, "", (path, " "))
+            if last in again:                           # one more of a repeated letter
+                value = score - repeat
+                if (a, b) not in new or value > new[a, b][0]:
+                    new[a, b] = (value, last, path)
         states = new
-    best = max(((s + float(model[a, b, 0]), t) for (a, b), (s, t) in states.items()), default=(0.0, ""))
-    return best[1]
+    best = max(((s + (model[a][b][0] if b or path is None else 0.0), path) for (a, b), (s, _, path) in states.items()),
+               key=lambda x: x[0])
+    out, path = [], best[1]
+    while path is not None:
+        path, text = path
+        out.append(text)
+    return "".join(reversed(out))
 
 
 class Restorer:
     """Words of a text after decoding; each distinct suspicious token is decoded once a task."""
 
     def __init__(self, model: np.ndarray, bound: int = 200_000):
-        self.model, self.bound, self.known = model, bound, {}
+        self.model, self.bound, self.known = model.tolist(), bound, {}
 
-    def _decoded(self, token: str) -> str:
+    def _decoded(self, token: str) -> list[str]:
         found = self.known.get(token)
         if found is None:
-            if len(self.known) >= self.bound:
-                self.known.clear()
-            found = self.known[token] = decode(token, self.model)
+            found = [decode(token, self.model)]
+            if _SEPARATED.search(token):
+                found += decode(token, self.model, words=True).split()
+            if len(token) <= 64:        # longer ones are decoded each time, which bounds the memory
+                if len(self.known) >= self.bound:
+                    self.known.clear()
+                self.known[token] = found
         return found
 
     def words(self, text: str) -> set[str]:
         text = text.lower()
         out: set[str] = set()
         for spaced in _SPACED.findall(text):
-            out.add(self._decoded(spaced))
+            out.update(self._decoded(spaced))
         for token in set(text.split()):
-            core = token if _CLEAN.match(token) else _ENDS.sub("", token)
-            if not core:
+            if _CLEAN.match(token):
+                out.add(token)
+                if _TRIPLE.search(token):
+                    out.update(self._decoded(token))
                 continue
+            core, wide = _ENDS.sub("", token), _EDGES.sub("", token)
             if _CLEAN.match(core):
                 out.add(core)
                 if _TRIPLE.search(core):
-                    out.add(self._decoded(core))
+                    out.update(self._decoded(core))
             elif _LETTER.search(core):
                 out.update(_WORD.findall(core))
-                if len(core) <= 64:     # longer ones are no words but data
-                    out.add(self._decoded(token if token[0] in LEET or token[-1] in LEET else core))
+                out.update(self._decoded(core))
+            elif _LEET.search(core):
+                out.update(self._decoded(core))
+            if wide != core and _LEET.search(wide):     # marks at the ends that may be letters
+                out.update(self._decoded(wide))
         out.discard("")
         return out
 

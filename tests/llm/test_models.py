@@ -71,6 +71,16 @@ def test_restoring_words(spark, documents):
     assert {"moron", "idiot", "stupid", "pathetic", "scum"} <= words
 
 
+@pytest.mark.parametrize("text, words", [
+    ("such a m o r o n", {"such", "moron"}), ("s t u p i d i d i o t", {"stupid", "idiot"}), ("455 he @55", {"ass"}),
+    ("$#!7", {"shit"}), ("@$$ (a$$)", {"ass"}), ("m" + "0" * 70 + "ron", {"moron"}),
+    ("you_are_such_a_m0r0n_" * 5, {"you", "moron"}), ("said.stuff.about.the.p@thetic.1d10t.and.all.of.the.others.too", {"pathetic", "idiot"})])
+def test_restoring_every_token(spark, documents, text, words):
+    from tally.llm.toxicity import Restorer, character_model
+    said = "you are such a moron and the idiot said stupid stuff about pathetic scum like shit and all of the others too ass"
+    assert words <= Restorer(character_model(documents([(i, said) for i in range(50)]))).words(text)
+
+
 def test_revisits_match_the_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{SF}/pages.parquet')")

@@ -1,4 +1,4 @@
-"""Repeated passages: prefix doubling over sampled positions, with Spark sorting the ranks.
+"""Repeated passages: content-defined anchors, grouped by hashes in three rounds.
 
 Wanted is every byte that lies in a string of ``length`` bytes which also
 starts anywhere else. Plain prefix doubling ranks every byte position in

@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from given_tables import SF_SMALL
 from tally.plans.catalogue import QUERIES
 from tally.plans.oracle import ORACLE_SQL
 

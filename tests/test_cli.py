@@ -3,7 +3,7 @@
 import os
 import tempfile
 
-from conftest import SF_SMALL
+from given_tables import SF_SMALL
 from tally.cli import main
 from tally.plans.catalogue import QUERIES
 from tally.sources.fixtures import fixture_tables

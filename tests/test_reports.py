@@ -230,7 +230,7 @@ def test_adding_an_older_version_never_changes_the_newest(spark, spec):
 
 
 def test_early_month_gross_at_least_net_when_credits_non_negative(spark):
-    from conftest import SF_MID
+    from given_tables import SF_MID
     from tally.plans.catalogue import QUERIES
     df = QUERIES["early_month_totals"](spark, SF_MID)
     assert df.count() > 0
@@ -273,7 +273,7 @@ def test_reapplication_report_matches_literal_sql(spark, spec):
 
 
 def test_first_last_optional_filters(spark):
-    from conftest import SF_SMALL
+    from given_tables import SF_SMALL
     from tally.sources.fixtures import AGENT_PROGRAM, fixture_tables
     t = fixture_tables(spark, SF_SMALL)
     gen = dt.datetime(2024, 1, 20, 12, 5)
@@ -289,7 +289,7 @@ def test_first_last_optional_filters(spark):
 
 
 def test_remittance_slug_filter(spark):
-    from conftest import SF_MID
+    from given_tables import SF_MID
     from tally.plans import remittance as R
     from tally.plans.catalogue import (BASE_URL, CUTOFF, GENERATED_ON, SERVICING_FEE_ACCOUNT)
     from tally.sources.fixtures import HOME_PROGRAM, TEST_PORTFOLIO, fixture_tables
@@ -461,7 +461,7 @@ def test_external_ledgers_match_literal_sql(spark, data):
 
 
 def test_external_ledger_legacy_timestamp_text(spark):
-    from conftest import SF_SMALL
+    from given_tables import SF_SMALL
     from tally.sources.fixtures import AGENT_PROGRAM, fixture_tables
     t = fixture_tables(spark, SF_SMALL)
     gen = dt.datetime(2024, 7, 20, 15, 5)

@@ -5,7 +5,7 @@ import os
 import re
 import tempfile
 
-from conftest import SF_SMALL
+from given_tables import SF_SMALL
 from tally.plans.views import VIEW_NAMES, register_activity_views
 from tally.sources import SCHEMAS, fixture_tables, read_tables
 

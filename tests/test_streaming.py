@@ -54,7 +54,7 @@ def test_stream_matches_batch_across_batches(spark):
 
 
 def test_stream_reads_a_table_of_several_files(spark):
-    from conftest import SF_SMALL
+    from given_tables import SF_SMALL
     from tally.plans.catalogue import QUERIES
     root = tempfile.mkdtemp(prefix="tally-stream-test-")
     spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(3).write.parquet(f"{root}/events.parquet")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tally.llm import bpe, prefix_trie
 from tally.llm.decontaminate import benchmark_hits, items_digest
 from tally.llm.importance import resample
 from tally.llm.jaccard_join import jaccard_components
@@ -14,6 +15,7 @@ from tally.llm.mixing import mix
 from tally.llm.pii import KINDS, find_pii, span_list
 from tally.llm.quality_rules import judge
 from tally.llm.revisits import resolve_revisits
+from tally.llm.runs import periodic_runs
 from tally.llm.store import prepare
 from tally.llm.suffix_dedup import remove_repeats
 from tally.llm.token_counts import token_counts
@@ -146,6 +148,71 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def rebuilt_conversations(sequences: DataFrame) -> DataFrame:
+    """Every conversation with the beginning of the first one of its twenty: (conv_id, turns).
+
+    The first h turns are those of conversation conv_id - conv_id % 20 (as many as it has), the others its own
+    after its first h; h is the remainder of a hash of the id.
+    """
+    base = F.col("conv_id") - F.col("conv_id") % 20
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    heads = sequences.where(F.col("conv_id") % 20 == 0).select(
+        F.col("conv_id").alias("_base"), F.slice("turns", 1, 3).alias("_head"))
+    rows = sequences.withColumn("_h", h).join(heads, base == F.col("_base"), "left")
+    head = F.slice(F.coalesce("_head", F.slice("turns", 1, 0)), F.lit(1), F.col("_h"))
+    return rows.select("conv_id", F.concat(head, F.slice("turns", F.col("_h") + 1, F.size("turns"))).alias("turns"))
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of the rebuilt conversations, a row per node."""
+    return prefix_trie.prefix_trie(rebuilt_conversations(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth text, by a hash of its id, made periodic from some word on, words joined by one space."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("_g"), F.when(h % 10 == 0, words).alias("_words"))
+    n = F.size("_words")
+    rows = rows.select("*", F.when(n > 0, F.col("_g") % n).cast("int").alias("_from"), n.alias("_n"))
+    left = F.col("_n") - F.col("_from")
+    rows = rows.withColumn("_period", (1 + F.floor(left / (3 + F.col("_g") % 8))).cast("int"))
+    piece = F.slice("_words", F.col("_from") + 1, F.col("_period"))
+    again = F.slice(F.flatten(F.array_repeat(piece, F.ceil(left / F.col("_period")).cast("int"))), F.lit(1), left)
+    periodic = F.array_join(F.concat(F.slice("_words", F.lit(1), F.col("_from")), again), " ")
+    return rows.select("doc_id", F.when(F.col("_from").isNotNull(), periodic).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest periodic run of words of every document, and digests of all runs and of the collapsed text."""
+    rows = periodic_runs(with_periods(table(spark, sf_dir, "documents")))
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    longest = rows.withColumn("_longest", F.array_max(order))
+    return longest.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_longest.start")).alias("start"),
+        F.col("_longest.length").alias("length"), (-F.col("_longest.period")).alias("period"),
+        F.expr("(1000 * _longest.length) div (-_longest.period)").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def word_bpe_path() -> str:
+    """Path of the public BPE vocabulary with word ends."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text they decode to, as digests."""
+    path = word_bpe_path()
+    rows = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -157,6 +224,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_source_mixing": op9_source_mixing,
     "op10_token_counts": op10_token_counts,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_word_bpe": op13_word_bpe,
 }
 
 #: DuckDB SQL where it can state a query.
@@ -198,4 +268,39 @@ SELECT 'v' || page_id AS record_id, url_key, 'r' || of_id AS response_id, status
        CASE WHEN status = 'resolved' THEN of_digest END AS payload_digest,
        CAST(CASE WHEN status = 'resolved' THEN of_bytes END AS DOUBLE) AS payload_bytes
 FROM judged
+""", "op11_prefix_trie": r"""
+WITH own AS (
+  SELECT conv_id, list({'name': md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')),
+                        'words': len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))}
+                       ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), coded AS (
+  SELECT *, list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT) AS bytes
+  FROM own
+), hashed AS (
+  SELECT *, xor(list_reduce(bytes, lambda c, x: list_reduce(list_concat([xor(c, x)], range(8)),
+                  lambda y, z: xor(y >> 1, 3988292384 * (y & 1))), 4294967295), 4294967295) % 4 AS h
+  FROM coded
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns, c.turns[1:0])[1:c.h], c.turns[c.h + 1:]) AS turns
+  FROM hashed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+), prefixes AS (
+  SELECT conv_id, d AS depth, array_to_string(list_transform(turns[1:d], lambda t: t.name), '') AS path,
+         CASE WHEN d > 0 THEN turns[d].words ELSE 0 END AS words, d = len(turns) AS is_end
+  FROM rebuilt, unnest(range(0, len(turns) + 1)) AS u(d)
+), nodes AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, min(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE is_end), '')) AS ends_sha256
+  FROM prefixes GROUP BY depth, path
+), children AS (
+  SELECT left(path, -32) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), counted AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c USING (path)
+), below AS (
+  SELECT left(path, (32 * d)::INT) AS path, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * words) AS saved
+  FROM counted, unnest(range(0, depth + 1)) AS u(d) GROUP BY 1
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves::BIGINT AS n_leaves,
+       b.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM counted n JOIN below b USING (path) LEFT JOIN nodes p ON n.depth > 0 AND p.path = left(n.path, -32)
 """}

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-#: Rows per Arrow batch handed to Python: bounds the memory of a worker.
+#: Rows and bytes per Arrow batch handed to Python: bound the memory of a worker (a longer text is a batch of its own).
 ARROW_ROWS = 512
+ARROW_BYTES = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,6 +56,7 @@ def prepare(spark: SparkSession) -> SparkSession:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH", ""), root) if x)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 

@@ -125,3 +125,22 @@ def shingles(names: np.ndarray, lo: int, hi: int, size: int) -> np.ndarray:
     for k in range(width):
         total = total * _BASE + names[lo + k:lo + k + n - width + 1]
     return np.unique(mix(total))
+
+
+def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The indices start..start+size of each entry, one after another."""
+    total = np.cumsum(size)
+    return np.repeat(start - (total - size), size) + np.arange(total[-1] if len(total) else 0)
+
+
+def joined(data: np.ndarray, start: np.ndarray, end: np.ndarray, at: np.ndarray) -> pa.Array:
+    """A string per row: its pieces at[k]..at[k+1], the UTF-8 bytes data[start:end] each, joined by one space."""
+    size = end - start + 1
+    last = np.cumsum(size)
+    out = np.append(data, np.uint8(32))[ragged(start, size)] if len(size) else np.zeros(0, np.uint8)
+    out[last - 1] = 32
+    ends = np.concatenate([[0], last])[at]
+    some = np.flatnonzero(np.diff(at) > 0)
+    out = np.delete(out, ends[some + 1] - 1)        # no space after a row's last piece
+    ends[1:] -= np.cumsum(np.diff(at) > 0)
+    return pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(out))

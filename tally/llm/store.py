@@ -22,14 +22,14 @@ def shared_dir(spark: SparkSession) -> str:
     Where it is unset and there is one local JVM only (tests), a scratch
     folder is set; on a cluster an unset folder is an error.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if path:
         return path.rstrip("/")
-    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+    if not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="tally-llm-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tally-llm-"))
+    return sc.getCheckpointDir()
 
 
 def saved(df: DataFrame, name: str = "table") -> DataFrame:

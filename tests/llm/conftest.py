@@ -3,11 +3,9 @@ from pyspark.sql import SparkSession
 
 
 @pytest.fixture(autouse=True)
-def _settings(spark: SparkSession, tmp_path_factory):
-    """The shared folder and settings of the operators."""
+def _settings(spark: SparkSession):
+    """The settings of the operators."""
     from tally.llm.store import prepare
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     prepare(spark)
 
 

@@ -11,11 +11,14 @@ Parameters are fixed so that results are reproducible (no wall clock).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tally.operators.objects import jsonb_text, object_get
+from tally.operators.stored import stored_tables, write_by_key
 from tally.plans import ledger as L
 from tally.plans import loans as N
 from tally.plans import remittance as R
@@ -33,6 +36,7 @@ from tally.sources.fixtures import (
 
 # Fixed report parameters for the derived data.
 EVENT_AS_OF = dt.date(2024, 1, 20)            # ledger / event reports
+BRANDS_AS_OF = dt.date(2024, 3, 1)            # spend per real brand: all card transactions
 SNAPSHOT_AS_OF = dt.date(2000, 1, 1)          # snapshot reports
 LEDGER_END = dt.datetime(2024, 1, 16)          # end date of the first/last ledger (exclusive)
 CUTOFF = dt.date(2000, 1, 1)                  # remittance period cutoff (exclusive)
@@ -40,8 +44,9 @@ GENERATED_AT = dt.datetime(2024, 1, 20, 12, 5)
 GENERATED_ON = dt.date(2024, 1, 20)
 BASE_URL = "https://ops.example.com/borrowers/?id="
 SERVICING_FEE_ACCOUNT = "earned_servicing_fee"
-# Every optional report filter except ``user_id``: an id filter would make a
-# registered query a one-user subset; the id filter (T-5) is unit-tested.
+# The user ids asked for by the report's id filter: a list of 400.
+REPORT_USERS = tuple(range(1, 1200, 3))
+# Every optional report filter except ``user_id``, which has a query of its own.
 FILTERED_REPORT_ARGS = dict(
     state="S3", amount_min=1_000_000, amount_max=30_000_000,
     start=dt.datetime(1995, 6, 1), end=dt.datetime(2001, 6, 30),
@@ -81,6 +86,13 @@ def ledger_unvoided_latest_stream(spark, sf_dir):
     return run_settled_stream(spark, stream, "created_local").select(*_LEDGER_KEEP)
 
 
+def ledger_unvoided_latest_stored(spark, sf_dir):
+    """Same result as ``ledger_unvoided_latest``, from a ledger stored by transaction."""
+    name = f"ledger_{uuid.uuid4().hex}"
+    write_by_key(_t(spark, sf_dir)["ledger"], name, "transaction_id", buckets=16)
+    return L.cleared_versions(stored_tables(spark, "ledger", name), "created_local").select(*_LEDGER_KEEP)
+
+
 def ledger_latest_then_filter(spark, sf_dir):
     return L.latest_then_filter(_t(spark, sf_dir)).select(*_LEDGER_KEEP)
 
@@ -112,6 +124,12 @@ def merchant_spend(spark, sf_dir):
     return L.merchant_spend(_t(spark, sf_dir), EVENT_AS_OF, brands=FIXTURE_BRANDS)
 
 
+def merchant_spend_brands(spark, sf_dir):
+    """Spend under the report's own brand patterns."""
+    t = _t(spark, sf_dir)
+    return L.merchant_spend({"ledger": t["ledger"], "transaction_party": t["branded_party"]}, BRANDS_AS_OF)
+
+
 def acceleration_events(spark, sf_dir):
     return N.acceleration_events(_t(spark, sf_dir), EVENT_AS_OF)
 
@@ -155,6 +173,10 @@ def reapplication_report_strict(spark, sf_dir):
                                   exclude_users=EXCLUDE_USERS, strict_address=True)
 
 
+def reapplication_report_users(spark, sf_dir):
+    return N.reapplication_report(_t(spark, sf_dir), test_agents=TEST_AGENTS, user_id=REPORT_USERS)
+
+
 def most_recent_snapshot(spark, sf_dir):
     t = _t(spark, sf_dir)
     loans = R.target_loans(t, program=HOME_PROGRAM, exclude_portfolio=TEST_PORTFOLIO)
@@ -188,6 +210,23 @@ def loan_balances(spark, sf_dir):
     return bal.select("loan_id", *[F.col(a).cast("double").alias(a) for a in ACCOUNTS])
 
 
+def loan_balance_objects(spark, sf_dir):
+    """The balances of every loan as one object, and what is read from it."""
+    rows = R.loan_balance_objects(_t(spark, sf_dir), CUTOFF)
+    refunds = F.coalesce(object_get("balances", R.INVESTOR_REFUNDS).cast("decimal(38,2)"), F.lit(0))
+    return rows.select("loan_id", jsonb_text(rows, "balances").alias("balances"),
+                       F.size("balances").cast("long").alias("n_accounts"), refunds.cast("double").alias("refunds"))
+
+
+def account_totals(spark, sf_dir):
+    """Loans and dollars per account, read from the loans' objects by the names of the accounts table."""
+    t = _t(spark, sf_dir)
+    names = t["ledger_accounts"].select(F.col("name").alias("account"))
+    rows = R.loan_balance_objects(t, CUTOFF).select(F.explode("balances").alias("account", "dollars"))
+    return rows.groupBy("account").agg(
+        F.count("*").alias("n_loans"), F.sum("dollars").cast("double").alias("dollars")).join(names, "account")
+
+
 def investor_refunds(spark, sf_dir):
     return R.investor_refunds(_t(spark, sf_dir), CUTOFF)
 
@@ -229,6 +268,7 @@ _RAW_QUERIES: dict[str, Query] = {
     "ledger_unvoided_latest": ledger_unvoided_latest,
     "ledger_unvoided_earliest": ledger_unvoided_earliest,
     "ledger_unvoided_latest_stream": ledger_unvoided_latest_stream,
+    "ledger_unvoided_latest_stored": ledger_unvoided_latest_stored,
     "ledger_latest_then_filter": ledger_latest_then_filter,
     "external_ledger_created_local": _external("created_local"),
     "external_ledger_effective": _external("effective"),
@@ -237,6 +277,7 @@ _RAW_QUERIES: dict[str, Query] = {
     "external_ledger_first_last_until": external_ledger_first_last_until,
     "early_month_totals": early_month_totals,
     "merchant_spend": merchant_spend,
+    "merchant_spend_brands": merchant_spend_brands,
     "acceleration_events": acceleration_events,
     "upsizes": upsizes,
     "loan_snapshots_current": loan_snapshots_current,
@@ -247,12 +288,15 @@ _RAW_QUERIES: dict[str, Query] = {
     "reapplication_report": reapplication_report,
     "reapplication_report_filtered": reapplication_report_filtered,
     "reapplication_report_strict": reapplication_report_strict,
+    "reapplication_report_users": reapplication_report_users,
     "most_recent_snapshot": most_recent_snapshot,
     "investor_tape_totals": investor_tape_totals,
     "new_purchasable": new_purchasable,
     "nsf_repayments": nsf_repayments,
     "entry_impacts": entry_impacts,
     "loan_balances": loan_balances,
+    "loan_balance_objects": loan_balance_objects,
+    "account_totals": account_totals,
     "investor_refunds": investor_refunds,
     "remittance_report": remittance_report,
 }

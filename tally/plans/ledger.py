@@ -3,7 +3,8 @@
 The ledger is append-only and versioned: a transaction has many rows and the
 newest one is its current state. Every report here is a composition of
 ``latest_per_key`` (one shuffle by ``transaction_id``), an anti-join against
-voids on the same key, and ordinary joins and aggregates.
+voids on the same key, and ordinary joins and aggregates. On a ledger stored by
+transaction (``operators.stored``) these steps need no shuffle.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from tally.operators.latest import (
     tiebreak_columns,
 )
 from tally.operators.partitions import prune_months
+from tally.operators.stored import by_part
 from tally.operators.voids import void_cutoffs, without_earlier_than
 
 Tables = Mapping[str, DataFrame]
@@ -81,6 +83,7 @@ def transaction_label(method: Column, is_ach: Column) -> Column:
              .when(method == "check", "CHECK"))
 
 
+@by_part("ledger")
 def cleared_versions(t: Tables, date_rule: str = "created_local",
                      tiebreak: Sequence[str] = LEDGER_TIEBREAK) -> DataFrame:
     """Newest countable version per transaction that no later void cancels.
@@ -109,6 +112,7 @@ def cleared_versions(t: Tables, date_rule: str = "created_local",
     return without_earlier_than(current, cutoffs, "transaction_id", "created_at")
 
 
+@by_part("ledger")
 def latest_then_filter(t: Tables, tiebreak: Sequence[str] = LEDGER_TIEBREAK) -> DataFrame:
     """Newest lender version per transaction, kept only if that version is settled.
 
@@ -120,6 +124,7 @@ def latest_then_filter(t: Tables, tiebreak: Sequence[str] = LEDGER_TIEBREAK) ->
     return current.filter(settled_filter())
 
 
+@by_part("ledger")
 def ledger_current_versions(t: Tables, transaction_ids: Sequence | None = None,
                             loan_ids: Sequence | None = None, party: str = "lender",
                             tiebreak: Sequence[str] = LEDGER_TIEBREAK) -> DataFrame:
@@ -132,6 +137,7 @@ def ledger_current_versions(t: Tables, transaction_ids: Sequence | None = None,
     return latest_per_key(rows, ["transaction_id"], _newest_first(rows, tiebreak))
 
 
+@by_part("ledger")
 def ledger_first_versions(t: Tables, party: str = "lender") -> DataFrame:
     """Creation time of the first version of each transaction."""
     return first_value_per_key(lender_rows(t, party).select("transaction_id", "created_at"),
@@ -209,6 +215,22 @@ def external_ledger(t: Tables, *, program: str, generated_at: dt.datetime,
     )
 
 
+@by_part("ledger")
+def _first_and_last(t: Tables, tiebreak: Sequence[str]) -> DataFrame:
+    """Newest settled versions with the creation time of their transaction's first one.
+
+    Both sides are partitioned by transaction id (window and aggregate), so
+    their join needs no shuffle of its own.
+    """
+    lender = lender_rows(t)
+    first = (first_value_per_key(lender.select("transaction_id", "created_at"),
+                                 ["transaction_id"], "created_at", earliest=True)
+             .withColumnRenamed("created_at", "first_created_at"))
+    updated = (latest_per_key(lender, ["transaction_id"], _newest_first(lender, tiebreak))
+               .filter(settled_filter()))
+    return updated.join(first, "transaction_id", "inner")
+
+
 def external_ledger_first_last(t: Tables, *, program: str, generated_at: dt.datetime,
                                end_date: dt.datetime | None = None,
                                loan_id=None, legacy_format: bool = False,
@@ -221,12 +243,6 @@ def external_ledger_first_last(t: Tables, *, program: str, generated_at: dt.date
     time, which is not an output column. ``end_date`` (exclusive) and
     ``loan_id`` are the report's optional filters.
     """
-    lender = lender_rows(t)
-    first = (first_value_per_key(lender.select("transaction_id", "created_at"),
-                                 ["transaction_id"], "created_at", earliest=True)
-             .withColumnRenamed("created_at", "first_created_at"))
-    updated = (latest_per_key(lender, ["transaction_id"], _newest_first(lender, tiebreak))
-               .filter(settled_filter()))
     # Loans with their application, live loans only: the source joins the
     # application side and the live-loan side separately on the same loan id
     # (a primary key), which is one relation with both conditions.
@@ -242,11 +258,9 @@ def external_ledger_first_last(t: Tables, *, program: str, generated_at: dt.date
                          apps["program"].alias("app_program"),
                          loans["slug"].alias("key"), loans["principal"].alias("loan_principal"),
                          loans["is_ach_only"].alias("is_ach")))
-    # The first-version join goes first: both sides are already partitioned
-    # by transaction id (window and aggregate), so it needs no new shuffle.
-    rows = (updated.join(first, "transaction_id", "inner")
-                   .join(loan_apps, "loan_id", "inner")
-                   .filter(F.col("app_program") == F.lit(program)))
+    rows = (_first_and_last(t, tiebreak)
+            .join(loan_apps, "loan_id", "inner")
+            .filter(F.col("app_program") == F.lit(program)))
     if loan_id is not None:
         rows = rows.filter(F.col("loan_id") == F.lit(loan_id))
     method = F.col("method")
@@ -270,6 +284,20 @@ def external_ledger_first_last(t: Tables, *, program: str, generated_at: dt.date
                         .alias("report_generated_at")))
 
 
+@by_part("ledger")
+def _cleared_between(t: Tables, start: dt.date, end: dt.date, tiebreak: Sequence[str]) -> DataFrame:
+    """Newest version per transaction of those cleared on the New York days ``start``..``end``.
+
+    The days are exact UTC bounds, evaluated in the scan; on a
+    month-partitioned ledger only the months they touch are read.
+    """
+    lender = prune_months(lender_rows(t), "created_at", ny_midnight_utc(start),
+                          ny_midnight_utc(end + dt.timedelta(days=1)))
+    window = (lender.filter(F.col("status") == "cleared")
+              .filter(ny_date_between("created_at", start, end)))
+    return latest_per_key(window, ["transaction_id"], _newest_first(window, tiebreak))
+
+
 def early_month_cleared_totals(t: Tables, as_of: dt.date,
                                tiebreak: Sequence[str] = LEDGER_TIEBREAK) -> DataFrame:
     """Cleared ledger totals per (loan, user) for New York days 1..15 of ``as_of``'s month.
@@ -280,15 +308,7 @@ def early_month_cleared_totals(t: Tables, as_of: dt.date,
     transaction without an order; here it is the newest (with a tie-break).
     """
     start = as_of.replace(day=1)
-    end = start + dt.timedelta(days=14)
-    lender = lender_rows(t)
-    # New York days start..end as exact UTC bounds, evaluated in the scan; on
-    # a month-partitioned ledger only the months they touch are read.
-    lender = prune_months(lender, "created_at", ny_midnight_utc(start),
-                          ny_midnight_utc(end + dt.timedelta(days=1)))
-    window = (lender.filter(F.col("status") == "cleared")
-              .filter(ny_date_between("created_at", start, end)))
-    cleared = latest_per_key(window, ["transaction_id"], _newest_first(window, tiebreak))
+    cleared = _cleared_between(t, start, start + dt.timedelta(days=14), tiebreak)
     is_cleared = F.col("status") == "cleared"
     disb = is_cleared & (F.col("transaction_type") == "disbursement")
     repay = is_cleared & (F.col("transaction_type") == "repayment")
@@ -313,6 +333,14 @@ def early_month_cleared_totals(t: Tables, as_of: dt.date,
     )
 
 
+@by_part("ledger")
+def _card_disbursements(t: Tables, tiebreak: Sequence[str]) -> DataFrame:
+    """Newest version by value date of every card disbursement."""
+    card = (lender_rows(t)
+            .filter((F.col("transaction_type") == "disbursement") & (F.col("method") == "card")))
+    return latest_per_key(card, ["transaction_id"], _newest_first(card, tiebreak, "value_date"))
+
+
 def merchant_spend(t: Tables, as_of: dt.date,
                    brands: Sequence[tuple[str, Sequence[str]]] = BRANDS,
                    tiebreak: Sequence[str] = LEDGER_TIEBREAK) -> DataFrame:
@@ -323,11 +351,7 @@ def merchant_spend(t: Tables, as_of: dt.date,
     group under their upper-cased name, and that same key is the output
     column. Only groups with positive total spend are kept.
     """
-    card = (lender_rows(t)
-            .filter((F.col("transaction_type") == "disbursement") & (F.col("method") == "card")))
-    current = latest_per_key(card, ["transaction_id"],
-                             _newest_first(card, tiebreak, "value_date"))
-    txn = (current.filter(F.col("status") != "voided")
+    txn = (_card_disbursements(t, tiebreak).filter(F.col("status") != "voided")
                   .filter(F.col("value_date") < ntz_lit(as_of))
                   .select("merchant_party_id",
                           (F.coalesce(F.col("debit"), F.lit(0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.functions.text import addr5, pg_concat
@@ -192,44 +192,40 @@ def first_expired_authorization(t: Tables) -> DataFrame:
             .agg(F.min("authorized_at").alias("original_authorized_at")))
 
 
-def _address_flags(j: DataFrame) -> DataFrame:
-    """Both per-(user, address) facts the report looks up, from one aggregate.
+def _address_facts(j: DataFrame) -> DataFrame:
+    """What the report looks up per (application's user, address), in one aggregate.
 
     ``has_reapp``: the key has a reapplying originated loan and more than one
     originated loan, counted by the *loan's* user (the reapplications CTE).
     ``expired_here``: originated x expired-originated loans > 1, counted by
-    the *application's* user (the expired-reapplications CTE). The two views
-    of the originated loans are stacked under one key column (two rows per
-    loan from one pass), so a single shuffle serves both; NULL users or
-    addresses never match a lookup.
+    the *application's* user (the expired-reapplications CTE).
+    ``expired_groups``: how many addresses of the user are ``expired_here``.
+
+    The two views of the loans are stacked under one key column (two rows per
+    loan from one pass), so one aggregate serves both, and a user with a third
+    of all loans splits by address. Keys of loans that are not originated are
+    in it too, so every application of a user with any fact finds its key. The
+    count per user is a window over the aggregate's rows: an address key has
+    five hex digits, so no user has more than 16^5 small rows there. Users
+    without facts are left out; a NULL address is a key without facts.
     """
-    orig = j.filter(F.col("origination_date").isNotNull() & F.col("address_hash").isNotNull())
-    # Each originated loan once under its loan's user (view 1) and once under
-    # its application's user (view 2), from a single pass over the join.
+    dated, placed = F.col("origination_date").isNotNull(), F.col("address_hash").isNotNull()
     views = F.array(
-        F.struct(F.col("loan_user_id").alias("user"), F.lit(1).alias("view"),
-                 F.col("withdrawal_reason").like("USER_REAPPLYING%").alias("reapplying"),
-                 F.lit(False).alias("expired")),
-        F.struct(F.col("app_user_id").alias("user"), F.lit(2).alias("view"),
-                 F.lit(False).alias("reapplying"),
-                 (F.col("loan_status") == "EXPIRED").alias("expired")))
-    stacked = (orig.select(F.col("address_hash").alias("app_addr"),
-                           F.explode(views).alias("v"))
-                   .select(F.col("v.user").alias("app_user_id"), "app_addr", "v.view",
-                           "v.reapplying", "v.expired")
-                   .filter(F.col("app_user_id").isNotNull()))
-    first_view, second_view = F.col("view") == 1, F.col("view") == 2
-    agg = stacked.groupBy("app_user_id", "app_addr").agg(
-        F.count(F.when(first_view, F.lit(1))).alias("loans_1"),
-        F.max(F.when(first_view, F.col("reapplying"))).alias("any_reapplying"),
-        F.count(F.when(second_view, F.lit(1))).alias("loans_2"),
-        F.count(F.when(second_view & F.col("expired"), F.lit(1))).alias("expired_2"))
-    flags = agg.select(
-        "app_user_id", "app_addr",
-        ((F.col("loans_1") > 1) & F.coalesce(F.col("any_reapplying"), F.lit(False)))
-        .alias("has_reapp"),
-        (F.col("loans_2") * F.col("expired_2") > 1).alias("expired_here"))
-    return flags.filter(F.col("has_reapp") | F.col("expired_here"))
+        F.struct(F.col("loan_user_id").alias("user"), (dated & placed).alias("own"),
+                 (dated & placed & F.col("withdrawal_reason").like("USER_REAPPLYING%")).alias("reapplying"),
+                 F.lit(False).alias("applied"), F.lit(False).alias("expired")),
+        F.struct(F.col("app_user_id").alias("user"), F.lit(False).alias("own"), F.lit(False).alias("reapplying"),
+                 (dated & placed).alias("applied"), (dated & placed & (F.col("loan_status") == "EXPIRED")).alias("expired")))
+    stacked = (j.select(F.col("address_hash").alias("app_addr"), F.explode(views).alias("v"))
+                .select(F.col("v.user").alias("app_user_id"), "app_addr", "v.*").drop("user")
+                .filter(F.col("app_user_id").isNotNull()))
+    facts = stacked.groupBy("app_user_id", "app_addr").agg(
+        ((F.count_if("own") > 1) & (F.count_if("reapplying") > 0)).alias("has_reapp"),
+        (F.count_if("applied") * F.count_if("expired") > 1).alias("expired_here"))
+    user = Window.partitionBy("app_user_id")
+    return (facts.withColumns({"expired_groups": F.count_if("expired_here").over(user),
+                               "any_fact": F.max(F.col("has_reapp") | F.col("expired_here")).over(user)})
+                 .filter("any_fact").drop("any_fact"))
 
 
 REAPPLICATION_COLUMNS = (
@@ -260,7 +256,7 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
     first-expired join is on the user only, one row per loan.
 
     The loans-applications join feeds two branches (the report rows and the
-    address flags, which come from one aggregate). ``materialize_shared``
+    address facts, which come from one aggregate). ``materialize_shared``
     checkpoints it once to the shared checkpoint folder instead of computing
     it twice; that runs a job when the report is built (the plan is no longer
     lazy), so it is off by default and pays off when the join is expensive
@@ -293,14 +289,15 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
         users["_id"].alias("users_id"), "app_state",
     )
 
-    flags = _address_flags(j)
+    facts = _address_facts(j).withColumnsRenamed({"app_user_id": "f_user", "app_addr": "f_addr"})
     firsts = first_expired_authorization(t).select(F.col("user_id"),
                                                    "original_authorized_at",
                                                    F.lit(True).alias("has_first"))
     # The users join left the rows partitioned by the loan's user, the key of
     # the first-expired join, so that join comes first (no re-shuffle).
     rows = (base.join(firsts, "user_id", "left")
-                .join(flags, ["app_user_id", "app_addr"], "left"))
+                .join(facts, (F.col("app_user_id") == F.col("f_user"))
+                      & F.col("app_addr").eqNullSafe(F.col("f_addr")), "left"))
     billable = (F.coalesce(F.col("has_first"), F.lit(False))
                 & (F.col("billable_date") == F.col("original_authorized_at")))
     here = F.coalesce(F.col("expired_here"), F.lit(False))
@@ -308,10 +305,6 @@ def reapplication_report(t: Tables, *, test_agents: Sequence[str] = (),
         has_expired = here
         labels = F.array(F.when(billable, "Billable_loan").otherwise("FALSE"))
     else:
-        per_user = (flags.filter(F.col("expired_here"))
-                         .groupBy("app_user_id")
-                         .agg(F.count(F.lit(1)).alias("expired_groups")))
-        rows = rows.join(per_user, "app_user_id", "left")
         groups = F.coalesce(F.col("expired_groups"), F.lit(0))
         has_expired = groups > 0
         hit = here & F.coalesce(billable, F.lit(False))

@@ -18,7 +18,9 @@ from pyspark.sql.types import IntegralType
 from tally.functions.money import dollars
 from tally.functions.text import pg_concat
 from tally.functions.time import ny_midnight_utc, ny_wall_before, pg_to_char
+from tally.operators.keyfilter import key_filter, may_match
 from tally.operators.latest import latest_facts
+from tally.operators.objects import object_agg
 from tally.operators.partitions import prune_months
 from tally.operators.pivot import pivot_sums
 
@@ -47,6 +49,12 @@ def _money(c: Column) -> Column:
     return c.cast("double")
 
 
+def _of_loans(df: DataFrame, loans: DataFrame) -> DataFrame:
+    """Rows of ``df`` that may be of ``loans``, by a key filter: before a shuffle that the exact join can't precede."""
+    ids = loans.select(F.col("_id").cast(df.schema["loan_id"].dataType).alias("loan_id"))
+    return may_match(df, "loan_id", key_filter(ids, "loan_id"))
+
+
 def target_loans(t: Tables, *, program: str, exclude_portfolio: str,
                  slug: str | None = None) -> DataFrame:
     """Loans of ``program`` outside the excluded portfolio (NULL portfolio drops)."""
@@ -65,14 +73,16 @@ def most_recent_snapshot(t: Tables, loans: DataFrame | None, cutoff: dt.date,
                          tiebreak: Sequence[str] = SNAPSHOT_TIEBREAK) -> DataFrame:
     """Newest snapshot per target loan created (New York time) before ``cutoff``.
 
-    The pick runs first: its partial limit runs before its shuffle, so a loan
-    with a third of all snapshots costs one row per input split. The
-    restriction to ``loans`` follows as a semi-join on one row per loan, for
-    which Spark chooses the strategy. ``loans=None``: no restriction (the
-    caller joins the loans itself).
+    A key filter of ``loans`` drops the snapshots of other loans in the scan.
+    The pick then runs before the exact restriction: its partial limit runs
+    before its shuffle, so a loan with a third of all snapshots costs one row
+    per input split, and the semi-join meets one row per loan. ``loans=None``:
+    no restriction (the caller joins the loans itself).
     """
     snaps = (prune_months(t["loan_snapshots"], "created_at", hi=ny_midnight_utc(cutoff))
              .filter(ny_wall_before("created_at", cutoff)))
+    if loans is not None:
+        snaps = _of_loans(snaps, loans)
     latest = latest_facts(snaps, "loan_id", "created_at", TAPE_FACTS, tiebreak)
     if loans is not None:
         latest = latest.join(loans.select(F.col("_id").alias("loan_id")), "loan_id", "left_semi")
@@ -125,7 +135,7 @@ def nsf_repayments(t: Tables, tiebreak: Sequence[str] = STATUS_TIEBREAK) -> Data
                             "payment_slug"))
 
 
-def _entries(t: Tables, cutoff: dt.date) -> tuple[DataFrame, Callable[[Column], Column]]:
+def _entries(t: Tables, cutoff: dt.date, loans: DataFrame | None = None) -> tuple[DataFrame, Callable[[Column], Column]]:
     """Ledger entries effective before ``cutoff`` with their signed impact.
 
     The report rounds ``amount * normal_balance / 100`` to cents per entry
@@ -133,9 +143,13 @@ def _entries(t: Tables, cutoff: dt.date) -> tuple[DataFrame, Callable[[Column],
     impact is summed as ``long`` cents and turned into dollars once per
     group (same result, no wide-decimal arithmetic per row); fractional
     amounts keep the per-entry decimal rounding. Returns the entries and
-    the function that finishes a summed impact.
+    the function that finishes a summed impact. With ``loans``, entries of
+    other loans are dropped by a key filter before they are shuffled; a few
+    may pass, for the caller's join with the loans to drop.
     """
     e, tx, acc = t["ledger_entries"], t["ledger_transactions"], t["ledger_accounts"]
+    if loans is not None:
+        e = _of_loans(e, loans)
     tx = tx.filter(F.col("effective_date") < F.lit(cutoff)).select(
         F.col("_id").alias("ledger_transaction_id"))
     acc = acc.select(F.col("name").alias("account"), "normal_balance")
@@ -159,14 +173,23 @@ def entry_impacts(t: Tables, cutoff: dt.date) -> DataFrame:
             .agg(finish(F.sum("impact")).alias("normalized_dollars")))
 
 
+def loan_balance_objects(t: Tables, cutoff: dt.date) -> DataFrame:
+    """One row per loan with ``balances``: a map from every account of its entries to its dollars.
+
+    No list of accounts is given: the names are those of the entries.
+    """
+    return object_agg(entry_impacts(t, cutoff), ["loan_id"], "account", "normalized_dollars", "balances")
+
+
 def loan_balances(t: Tables, cutoff: dt.date, accounts: Sequence[str],
-                  names: Sequence[str] | None = None) -> DataFrame:
+                  names: Sequence[str] | None = None, loans: DataFrame | None = None) -> DataFrame:
     """One row per loan, one column per account of the closed list.
 
     Equal to pivoting ``entry_impacts`` (a sum of per-account sums), done as
-    one aggregate straight from the entries.
+    one aggregate straight from the entries. With ``loans`` most rows of other
+    loans are left out, not all (see ``_entries``).
     """
-    entries, finish = _entries(t, cutoff)
+    entries, finish = _entries(t, cutoff, loans)
     names = list(names or accounts)
     sums = pivot_sums(entries, ["loan_id"], "account", accounts, F.col("impact"), names)
     return sums.select("loan_id", *[finish(F.col(n)).alias(n) for n in names])
@@ -205,7 +228,9 @@ def remittance_report(t: Tables, *, cutoff: dt.date, generated_on: dt.date, prog
                       slug: str | None = None) -> DataFrame:
     """Investor remittance tape: one row per purchased loan (per NSF repayment).
 
-    ``cutoff`` is the exclusive period end. Loans never purchased before are
+    Ids and slugs of loans, and ids of users and applications, are unique, so
+    rows can repeat by failed payments only; these are made distinct per loan
+    and dollars before they are joined. ``cutoff`` is the exclusive period end. Loans never purchased before are
     excluded (inner join on the previous totals), so the purchase columns are
     NULL only when the loan has no snapshot. Several outputs are sums of two
     balances, as the tape defines them.
@@ -221,10 +246,11 @@ def remittance_report(t: Tables, *, cutoff: dt.date, generated_on: dt.date, prog
     snap = most_recent_snapshot(t, loans, cutoff).select(
         "loan_id", "principal_cents", "disbursed_cents_cleared", "days_past_due",
         "credit_usage_dollars", F.lit(True).alias("has_snapshot"))
-    nsf = nsf_repayments(t).select("loan_id", F.col("amount").alias("nsf_amount"))
+    nsf = nsf_repayments(t).select(
+        "loan_id", F.round(dollars("amount", as_double=False), 2).alias("nsf_dollars")).distinct()
     accounts = [*BALANCE_ACCOUNTS, servicing_fee_account]
     names = [*BALANCE_ACCOUNTS, "earned_servicing_fee"]
-    bal = loan_balances(t, cutoff, accounts, [f"b_{n}" for n in names]) \
+    bal = loan_balances(t, cutoff, accounts, [f"b_{n}" for n in names], loans) \
         .withColumn("has_balances", F.lit(True))
 
     # Loan-keyed relations first: the previous totals, snapshot and balances
@@ -248,7 +274,7 @@ def remittance_report(t: Tables, *, cutoff: dt.date, generated_on: dt.date, prog
     refunds = F.when(F.col("has_balances"), b(INVESTOR_REFUNDS))
     repaid = F.col("status") == "REPAID"
     period_end = cutoff - dt.timedelta(days=1)
-    out = base.select(
+    return base.select(
         pg_to_char(F.lit(generated_on), "yyyy-mm-dd").alias("report_generation_date"),
         pg_to_char(F.lit(period_end), "yyyy-mm-dd").alias("period_end"),
         pg_concat(base_url, F.col("u_id")).alias("borrower_link"),
@@ -265,7 +291,7 @@ def remittance_report(t: Tables, *, cutoff: dt.date, generated_on: dt.date, prog
         _money(refunds).alias("total_investor_refunds"),
         _money(F.col("prev_refunds")).alias("previous_investor_refunds"),
         _money(refunds - F.col("prev_refunds")).alias("outstanding_investor_refunds"),
-        _money(F.round(dollars("nsf_amount", as_double=False), 2)).alias("nsf_repayments"),
+        _money(F.col("nsf_dollars")).alias("nsf_repayments"),
         _money(F.when(F.col("has_snapshot"), newly)).alias("additional_draws_to_purchase"),
         _money(F.col("prev_principal")).alias("investor_purchased_principal"),
         _money(b("investor_accumulated_interest")).alias("investor_purchased_interest"),
@@ -285,4 +311,3 @@ def remittance_report(t: Tables, *, cutoff: dt.date, generated_on: dt.date, prog
         .alias("accumulated_interest_repayments"),
         _money(b("earned_servicing_fee")).alias("earned_servicing_fee"),
     )
-    return out.distinct()

@@ -53,21 +53,22 @@ VIEWS: dict[str, View] = {
     "ledger": View("events", (
         ("event_id", "event_id"),
         ("transaction_id", "user_id * 10 + event_id % 10"),
-        ("loan_id", "user_id * 10 + event_id % 10"),
+        # two or three transactions of a loan, of both types
+        ("loan_id", "user_id * 10 + (event_id % 10) % 4"),
         ("user_id", "user_id"),
         ("party", "case when event_id % 7 = 0 then 'borrower' else 'lender' end"),
         ("status", "case event_type when 'signup' then 'pending' when 'error' then 'voided' "
                    "else 'cleared' end"),
         ("method", "case when event_id % 10 < 5 then 'card' when event_id % 10 < 8 then 'direct' "
                    "else 'check' end"),
-        ("transaction_type", "case when user_id % 3 = 0 then 'repayment' else 'disbursement' end"),
+        ("transaction_type", "case when (event_id % 10) % 3 = 0 then 'repayment' else 'disbursement' end"),
         ("created_at", "ts"),
         ("value_date", "ts - interval '1' day"),
         ("effective_date", "cast(ts as date)"),
         ("external_post_date", "case when event_id % 5 <> 0 then ts + interval '1' day end"),
         ("debit", "case when event_id % 4 <> 0 then cast(round(value * 100) as bigint) "
                   "when event_id % 8 = 0 then 0 end"),
-        ("credit", "case when event_id % 4 = 0 then cast(round(value * 100) as bigint) else 0 end"),
+        ("credit", "case when event_id % 4 = 0 then cast(round(value * 100) as bigint) % 2500 else 0 end"),
         ("merchant_party_id", "user_id * 10 + event_id % 10"),
     )),
     "loans": View("orders", (
@@ -128,6 +129,17 @@ VIEWS: dict[str, View] = {
         ("postal_code", "cast(p_size as string)"),
         ("state", "p_brand"),
     )),
+    # Merchants whose names the brand patterns decide, and some they just miss.
+    "branded_party": View("part", (
+        ("_id", "p_partkey"),
+        ("name", "case p_partkey % 24 when 0 then 'xx HomeDepot 12' when 1 then 'The Home Depot #3' "
+                 "when 2 then 'Home Depot' when 3 then 'PayPal *shop' when 4 then concat('LOWE', chr(39), 'S 7') "
+                 "when 5 then 'Amazon mkt' when 6 then 'amzn mktp' when 7 then 'Pods 12' when 8 then 'bigPODS' "
+                 "when 9 then 'tripods x' when 10 then 'Wayfair.com' when 11 then 'my WestElm' when 12 then 'West Elm' "
+                 "when 13 then 'TARGET 00' when 14 then 'Ace Hardware 9' when 15 then 'ACE  HARDWARE' "
+                 "when 16 then 'paypal Target' when 17 then 'Wayfair by Amazon' when 18 then null "
+                 "else p_name end"),
+    )),
     "acceleration_events": View("events", (
         ("event_id", "event_id"),
         ("loan_id", "user_id * 10 + event_id % 10"),

@@ -130,6 +130,16 @@ def test_entries_are_summed_before_the_accounts_are_joined(spark):
     assert "hashpartitioning(loan_id" in plan[by_account:]      # the sum lies below
 
 
+def test_first_last_ledger_comes_by_first_version(spark, duck):
+    """O-3: by the creation time of the first version, which is no output column; ties by transaction."""
+    df = QUERIES["external_ledger_first_last"](spark, SF_SMALL)
+    sql = ORACLE_SQL["external_ledger_first_last"].rstrip() + ", r.transaction_id"
+    names = duck.execute(sql.split("ORDER BY r.first_seen")[0] + "LIMIT 0").description
+    want = duck.execute(sql).fetchall()
+    at = [[n[0] for n in names].index(c) for c in df.columns]
+    assert [tuple(r) for r in df.collect()] == [tuple(r[i] for i in at) for r in want] and len(want) > 20
+
+
 def test_reports_come_in_their_order(spark):
     """O-1, O-2: users first to last, brands by falling transaction counts."""
     users = [r.user_id for r in QUERIES["reapplication_report"](spark, SF_SMALL).collect()]

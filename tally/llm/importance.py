@@ -11,7 +11,7 @@ a long document has. Standard Gumbel noise, a hash of the id, turns the k
 largest keys ``log_weight + noise`` into a weighted sample without replacement.
 
 k, unless given, is the number of documents whose weight passes the cutoff
-that separates the labelled rows best. Ties at the k-th key are all kept.
+that separates the labelled ids best (an id of several rows by their mean). Ties at the k-th key are all kept.
 
 Null and empty texts have weight 1 (log 0). Null ids share one noise value,
 repeated rows one key, so they are kept or rejected together. Without target
@@ -110,8 +110,9 @@ def resample(docs: DataFrame, labels: DataFrame, *, k: int | None = None, keep:
     scored, sample = importance_weights(docs, labels, keep=keep, id_col=id_col, **options)
     scored = saved(scored, "importance")
     if k is None:
-        known = scored.join(F.broadcast(sample), F.col(id_col) == F.col("_label_id")).select("log_weight", "_good")
-        known = known.toPandas()        # as many rows as the labelled sample has
+        known = scored.join(F.broadcast(sample), F.col(id_col) == F.col("_label_id")).groupBy("_label_id").agg(
+            F.avg("log_weight").alias("log_weight"), F.first("_good").alias("_good"))
+        known = known.toPandas()        # one row per labelled id, however often it occurs
         cut = cutoff(known["log_weight"].to_numpy(float), known["_good"].to_numpy(bool))
         if cut is None:
             return scored.withColumn("kept", F.lit(True))

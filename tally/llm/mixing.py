@@ -8,11 +8,16 @@ expected domain token totals, sum of r * tokens * p, match the targets:
 
     minimise  |A r - T|^2 / (2 S^2)  +  ridge / (2 S) * sum(tokens * (r - 1)^2)
 
-with S all tokens, A the expected domain tokens, T = S * weights. Projected
-gradient steps (accelerated, scaled by the tokens of each document) run over
-the written table of posteriors. A document's rate after a step depends on the
-domain residuals so far only, so that each step is one pass that replays them
-and returns as many sums as there are domains; no rate is collected.
+with S all tokens, A the expected domain tokens, T = S * weights. The ridge only
+picks, of all rates that meet the targets, those nearest to one; it is so small
+that it leaves no gap to speak of. At the minimum every rate is the projection
+max(0, 1 - p . g) of a step against one gradient g in domain space, so g is all
+that the passes need to share. Each pass over the written posteriors projects
+the rates of several trial steps and returns, per trial, as many sums as there
+are domains, and their products over the documents above zero, in whose metric
+the next step is taken. The longest trial that lowers the (convex) objective is
+kept; the fit ends when the gradient is within ``TOLERANCE``, or when no trial
+lowers it, at the precision of doubles. It takes few passes and no step cap.
 
 Null and empty texts have no tokens, the prior as posterior and a rate like
 others, which adds nothing. Rows are independent of one another but for the
@@ -37,9 +42,9 @@ from tally.llm.textbytes import blocks
 BUCKETS = 1 << 14
 LABELLED_BOUND = 50_000     # labelled rows that the classifier is fitted on, at most
 EVIDENCE = 64.0
-RIDGE = 1e-3
-STEPS = 60
-TOLERANCE = 1e-4            # of the totals' shares
+RIDGE = 1e-7
+TOLERANCE = 1e-7            # of the totals' shares
+TRIALS = tuple(4.0 ** -k for k in range(14))    # lengths of a pass's steps
 
 
 def _counts(classes: int, buckets: int) -> Callable:
@@ -78,42 +83,67 @@ def _posteriors(classes: int, buckets: int, late, keep: int) -> Callable:
     return run
 
 
-def _replay(p: np.ndarray, residuals: list[np.ndarray], ridge: float) -> tuple[np.ndarray, np.ndarray]:
-    """The rates after the steps with these residuals, and the point where the next one is taken."""
-    rate = point = np.ones(len(p))
-    for t, residual in enumerate(residuals):
-        step = np.maximum(0.0, point - (p @ residual + ridge * (point - 1.0)) / (1.0 + ridge))
-        point = step + t / (t + 3.0) * (step - rate)
-        rate = step
-    return rate, point
-
-
 def _matrix(column: pa.Array, classes: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, classes)
 
 
-def _totals(classes: int, residuals: list[np.ndarray], ridge: float) -> Callable:
-    """Domain tokens at the rates (row 0) and at the next point (row 1)."""
+def _totals(classes: int, points: np.ndarray) -> Callable:
+    """Per trial point g: domain tokens at the rates, their products by p, and half the squared rates."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, classes))
+        sums = np.zeros((len(points), classes + classes * classes + 1))
         for batch in batches:
             p, tokens = _matrix(batch.column(1), classes), batch.column(0).to_numpy(zero_copy_only=False)
-            for row, r in enumerate(_replay(p, residuals, ridge)):
-                sums[row] += (r * tokens) @ p
-        yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array(sums.tolist(), pa.list_(pa.float64()))],
-                                         ["row", "sums"])
+            products = (p[:, :, None] * p[:, None, :]).reshape(len(p), -1)
+            for row, g in zip(sums, points):
+                rate = np.maximum(0.0, 1.0 - p @ g)
+                row[:classes] += (rate * tokens) @ p
+                row[classes:-1] += ((rate > 0) * tokens) @ products
+                row[-1] += (rate * rate * tokens).sum() / 2.0
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(points)), pa.int32()), pa.array(sums.tolist(), pa.list_(pa.float64()))], ["row", "sums"])
     return run
 
 
-def _rates(classes: int, residuals: list[np.ndarray], ridge: float) -> Callable:
+def _rates(classes: int, g: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = _matrix(batch.column(batch.schema.get_field_index("posterior")), classes)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_replay(p, residuals, ridge)[0])],
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.maximum(0.0, 1.0 - p @ g))],
                                              [*batch.schema.names, "rate"])
     return run
 
 
+def fit_gradient(rows: DataFrame, weights: np.ndarray, *, ridge: float = RIDGE, tolerance: float = TOLERANCE) -> np.ndarray:
+    """g of the rates max(0, 1 - p . g), for a written table with n_tokens and posterior."""
+    classes, small = len(weights), rows.select("n_tokens", "posterior")
+    g = np.zeros(classes)
+    total = float(small.agg(F.sum("n_tokens")).first()[0] or 0)
+    if not total:
+        return g
+
+    def measured(points: np.ndarray) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """(objective, gradient, curvature) at each point."""
+        got = small.mapInArrow(_totals(classes, points), "row int, sums array<double>")
+        each = [F.sum(F.col("sums")[c]).alias(str(c)) for c in range(classes + classes * classes + 1)]
+        out = {}
+        for r in got.groupBy("row").agg(*each).collect():       # as many rows as trials
+            x = np.array(r[1:]) / total
+            own = points[r["row"]]
+            out[r["row"]] = (x[-1] + weights @ own + ridge * own @ own / 2.0, weights - x[:classes] + ridge * own,
+                             x[classes:-1].reshape(classes, classes) + ridge * np.eye(classes))
+        return [out[k] for k in range(len(points))]
+
+    value, slope, curve = measured(g[None])[0]
+    while np.abs(slope).max() > tolerance:
+        step = np.linalg.solve(curve, -slope)
+        points = g + np.outer(TRIALS, step)
+        lower = [(point, *now) for point, now in zip(points, measured(points)) if now[0] < value]
+        if not lower:
+            break
+        g, value, slope, curve = min(lower, key=lambda x: x[1])
+    return g
+
+
 def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], *, id_col: str = "doc_id",
                       text_col: str = "text", domain_col: str = "domain", keep: list[str] | None = None,
                       buckets: int = BUCKETS, bound: int = LABELLED_BOUND) -> DataFrame:
@@ -139,20 +169,11 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str],
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *, ridge: float = RIDGE,
-        steps: int = STEPS, tolerance: float = TOLERANCE, **options) -> DataFrame:
+        tolerance: float = TOLERANCE, **options) -> DataFrame:
     """Columns ``keep`` plus n_tokens, posterior (in the order of ``targets``) and rate."""
     domains = list(targets)
     weights = np.array([max(0.0, targets[d]) for d in domains])
     weights = weights / weights.sum()
     rows = saved(domain_posteriors(docs, labelled, domains, **options), "posteriors")
-    small = rows.select("n_tokens", "posterior")
-    total = float(small.agg(F.sum("n_tokens")).first()[0] or 0)
-    residuals: list[np.ndarray] = []
-    while total and len(residuals) < steps:
-        got = small.mapInArrow(_totals(len(domains), residuals, ridge), "row int, sums array<double>")
-        each = [F.sum(F.col("sums")[c]).alias(str(c)) for c in range(len(domains))]
-        at = {r["row"]: np.array([r[str(c)] for c in range(len(domains))]) for r in got.groupBy("row").agg(*each).collect()}
-        if np.abs(at[0] / total - weights).max() <= tolerance:
-            break
-        residuals.append(at[1] / total - weights)
-    return rows.mapInArrow(_rates(len(domains), residuals, ridge), schema_of(rows.schema.fields, "rate double"))
+    g = fit_gradient(rows, weights, ridge=ridge, tolerance=tolerance)
+    return rows.mapInArrow(_rates(len(domains), g), schema_of(rows.schema.fields, "rate double"))

@@ -3,14 +3,18 @@
 Built-in functions only. Every text is measured once; the measures are
 written, summarised as KLL sketches per (language, source), and the sketches
 are merged to languages and to the whole, so that no value is read again. A
-group's limit for a measure is a fence around its middle: median plus
-``FENCE`` times the distance to a quantile above it (and likewise below, for
-two-sided measures). That is the upper quartile for word lengths, and a tail
-quantile for the shares, which are zero for most rows. Groups of fewer than
-``MIN_GROUP`` rows take the limits of their language, small languages those of
-the whole. The limits are joined to the measures and rows beyond any limit by
-more than one unit of their own (a symbol, a line, a repeated window, a
-character) are rejected, besides those that fail the base rules.
+group's limit for a measure is a fence around its middle: the median plus a
+multiple of the spread above it (and likewise below, for two-sided measures).
+For word lengths the spread is the distance to the upper quartile. Shares are
+zero for most rows; their spread is the distance to the 0.9 quantile or, if
+that is larger, the median of the values above zero (of a sketch of their own)
+times the share of rows that have one: what is usual for the group, weighed by
+how usual it is. A group of n rows takes n / (n + ``BLEND``) of its own limit
+and the rest of its language's, which is blended with the whole's alike, so
+limits change smoothly with size. They are joined to the measures and rows
+beyond any limit by more than one unit of their own (a symbol, a line, a
+repeated window, a character) are rejected, besides those that fail the base
+rules.
 
 Null and empty texts have no words and fail the base rules. Null languages and
 sources are groups like others. Rows are measured on their own: repeats and
@@ -26,15 +30,17 @@ from pyspark.sql import functions as F
 
 from tally.llm.store import prepare, saved
 
-FENCE = 6.0
-MIN_GROUP = 100
+BLEND = 100.0               # rows of a group that weigh as much as the level above it
 SKETCH_K = 400              # sketch size: rank error under 1 %
 GAP = r"[ \t\n\x0B\f\r]+"
 TAIL = 0.9                  # quantile that the spread of shares is taken to
-#: measure -> its count, what that is divided by, the smallest step of the count, the quantile that its spread is
-#: taken to, and whether low values are rejected too. A window that occurs twice covers six words.
-MEASURES = {"symbol_share": ("n_symbols", "word_chars", 1, TAIL, False), "dup_line_share": ("n_dup_lines", "n_lines", 1, TAIL, False),
-            "repeat_share": ("n_repeat_words", "n_words", 6, TAIL, False), "word_length": ("word_chars", "n_words", 1, 0.75, True)}
+#: measure -> its count, what that is divided by, the smallest step of the count (a window that occurs twice covers
+#: six words), the quantile that its spread is taken to, the spreads in a fence, and whether low values are rejected too.
+MEASURES = {"symbol_share": ("n_symbols", "word_chars", 1, TAIL, 4.0, False),
+            "dup_line_share": ("n_dup_lines", "n_lines", 1, TAIL, 4.0, False),
+            "repeat_share": ("n_repeat_words", "n_words", 6, TAIL, 4.0, False),
+            "word_length": ("word_chars", "n_words", 1, 0.75, 6.0, True)}
+SHARES = [m for m, (*_, low) in MEASURES.items() if not low]
 
 
 def base_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -68,31 +74,45 @@ def base_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def limits(measured: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """One row per (lang, source): ``lo_<measure>`` and ``hi_<measure>``."""
-    sketch = [F.kll_sketch_agg_double(F.col(m), SKETCH_K).alias(m) for m in MEASURES]
-    group = measured.groupBy(lang_col, source_col).agg(F.count("*").alias("rows"), *sketch)
+    above = {f"{m}_above": F.when(F.col(m) > 0, F.col(m)) for m in SHARES}
+    columns = {**{m: F.col(m) for m in MEASURES}, **above}
+    sketch = [F.kll_sketch_agg_double(c, SKETCH_K).alias(m) for m, c in columns.items()]
+    counts = [F.count("*").alias("rows"), *[F.count(c).alias(f"n_{m}") for m, c in above.items()]]
+    group = saved(measured.groupBy(lang_col, source_col).agg(*counts, *sketch), "rule-sketches")
 
     def merged(sketches: DataFrame, *keys: str) -> DataFrame:
-        joined = [F.kll_merge_agg_double(F.col(m), SKETCH_K).alias(m) for m in MEASURES]
-        return sketches.groupBy(*keys).agg(F.sum("rows").alias("rows"), *joined)
+        joined = [F.kll_merge_agg_double(F.col(m), SKETCH_K).alias(m) for m in columns]
+        sums = [F.sum(c).alias(c) for c in ("rows", *[f"n_{m}" for m in above])]
+        return sketches.groupBy(*keys).agg(*sums, *joined)
 
     def fences(sketches: DataFrame, level: str) -> DataFrame:
         out = []
-        for m, (*_, tail, low) in MEASURES.items():
-            below, middle, above = (F.kll_sketch_get_quantile_double(F.col(m), F.lit(q)) for q in (1 - tail, 0.5, tail))
-            out.append((middle + FENCE * (above - middle)).alias(f"hi_{m}_{level}"))
-            out.append((middle - FENCE * (middle - below) if low else F.lit(float("-inf"))).alias(f"lo_{m}_{level}"))
+        for m, (*_, tail, wide, low) in MEASURES.items():
+            quantile = lambda c, q: F.kll_sketch_get_quantile_double(F.col(c), F.lit(q))
+            below, middle, top = (quantile(m, q) for q in (1 - tail, 0.5, tail))
+            spread = top - middle
+            if not low:
+                there = F.col(f"n_{m}_above")
+                spread = F.greatest(spread, F.when(there > 0, quantile(f"{m}_above", 0.5) * there / F.col("rows")))
+            out.append((middle + wide * spread).alias(f"hi_{m}_{level}"))
+            out.append((middle - wide * (middle - below) if low else F.lit(float("-inf"))).alias(f"lo_{m}_{level}"))
         keys = [c for c in (lang_col, source_col) if c in sketches.columns]
         return sketches.select(*keys, F.col("rows").alias(f"rows_{level}"), *out)
 
-    group = saved(group, "rule-sketches")
     by_lang = merged(group, lang_col)
     whole = fences(merged(by_lang.withColumn("_all", F.lit(1)), "_all"), "all")     # one row
     lang = fences(by_lang, "lang").withColumnRenamed(lang_col, "_lang")
     rows = fences(group, "own").join(lang, F.col(lang_col).eqNullSafe(F.col("_lang"))).join(F.broadcast(whole))
-    pick = [F.when(F.col("rows_own") >= MIN_GROUP, F.col(f"{side}_{m}_own"))
-            .when(F.col("rows_lang") >= MIN_GROUP, F.col(f"{side}_{m}_lang")).otherwise(F.col(f"{side}_{m}_all"))
-            .alias(f"{side}_{m}") for m in MEASURES for side in ("lo", "hi")]
-    return rows.select(lang_col, source_col, *pick)
+
+    def blended(name: str, *levels: str) -> Column:
+        limit = F.col(f"{name}_{levels[0]}")
+        if len(levels) == 1 or (name.startswith("lo_") and name[3:] in SHARES):
+            return limit
+        n = F.col(f"rows_{levels[0]}")
+        return (n * limit + BLEND * blended(name, *levels[1:])) / (n + BLEND)
+
+    return rows.select(lang_col, source_col, *[
+        blended(f"{side}_{m}", "own", "lang", "all").alias(f"{side}_{m}") for m in MEASURES for side in ("lo", "hi")])
 
 
 def judge(docs: DataFrame, *, keep: list[str] | None = None, text_col: str = "text", lang_col: str = "lang",

@@ -50,7 +50,6 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzäöüßéèêëàâáóòôúùûíìîï
 _INDEX = {c: i + 1 for i, c in enumerate(ALPHABET)}
 SIZE = len(ALPHABET) + 2            # 0: word boundary, last: any other letter
 LABELLED_BOUND = 20_000             # labelled rows that the lexicon is fitted on, at most
-LEXICON_BOUND = 200_000             # entries held by most toxic training texts that are tested, at most
 MIN_DOCS = 3                        # toxic training rows that hold an entry
 MIN_SHARE = 0.3                     # toxic share of an entry, at least
 Z = 1.0                             # of the lower confidence bound
@@ -270,7 +269,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, model: np.ndarray, *, id_col
             F.sum("n").alias("n"))
 
     bad = saved(held(training.where("_toxic"), None).where(F.col("n") >= MIN_DOCS), "toxic-entries")
-    often = {r["entry"]: r["n"] for r in bad.orderBy(F.desc("n"), "entry").limit(LEXICON_BOUND).collect()}
+    often = {r["entry"]: r["n"] for r in bad.collect()}     # of at most ``bound`` texts, whatever the corpus holds
     fine = {r["entry"]: r["n"] for r in held(training.where("not _toxic"), set(often)).collect()}
     base, lexicon = toxic / total, {}
     for entry, t in often.items():

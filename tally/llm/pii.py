@@ -4,15 +4,19 @@ Base spans come from fixed patterns. The field adds spans that the patterns
 miss but the rest of the document speaks for. Its nodes are mentions: maximal
 strings of address or number characters, and the base spans, which are
 observed. Node potentials are those of a naive Bayes model of mention shapes,
-fitted on a bounded sample of documents with the base spans as labels. Chain
+counted over all documents with the base spans as labels. Chain
 edges join mentions next to each other, skip edges join all mentions of one
 content in a document (equal letters and digits, equal digits without a country
 code, or an equal address) to a hub, however many and far apart they are: a pair
 shares a potential that favours one label for both. A hub with base spans among
 its mentions has their kind. Sum-product message passing runs over all documents
-of a batch at once until the messages settle; a mention whose belief in a kind
-reaches ``CONFIDENCE`` becomes a span, unless it overlaps a base span or breaks
-its kind's form.
+of a batch at once, each until its own messages settle. Where they swing, they
+are damped ever more, after ``ROUNDS`` rounds each of ``DAMPING``; what they have
+come to then counts. A mention whose belief in a kind reaches ``CONFIDENCE``
+becomes a span, unless it overlaps a base span or breaks its kind's form.
+
+All patterns take time in proportion to the text: a match is tried once per run
+of its first characters, as all starts within a run fail alike.
 
 Null and empty texts have no spans. Rows are independent: repeats and ties need
 no rule (of equal beliefs the first kind counts). Offsets are code points, end
@@ -42,18 +46,23 @@ PATTERNS = {
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+#: The same matches with one attempt per run of digits; and what follows an address's @.
+_IP = re.compile(rf"(?<![0-9]){PATTERNS['ip'].pattern}")
+_LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _AT, _DOT = r"(?:@|\s?[(\[]at[)\]]\s?| at )", r"(?:\.|\s?[(\[]dot[)\]]\s?| dot )"
 _ADDRESS = re.compile(rf"[A-Za-z0-9._%+-]+{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+")
+_ADDRESS_RUN = re.compile(rf"(?<![A-Za-z0-9._%+-]){_ADDRESS.pattern}")
 _NUMBER = re.compile(r"[+(]?[0-9](?:[\x20().-]{0,3}[0-9])+")
 _DIGIT = re.compile("[0-9]")
 _RUN = re.compile("[0-9]+")
 _SPELT = re.compile(r"[(\[](?:at|dot)[)\]]| at | dot ")
 _NOT_WORD = re.compile("[^0-9a-z]+")
 
-SAMPLE_DOCS = 20_000        # documents with mentions that the shapes are fitted on, at most
 CHAIN_CHARS = 40            # mentions closer than this share a chain edge
 SETTLED = 1e-6              # change of a message below which it has settled
-ROUNDS = 1000               # after which messages that still swing are an error
+DAMPING = (0.5, 0.8, 0.95)  # share of the old message in the new one
+ROUNDS = 300                # with each damping, at most
 CONFIDENCE = 0.8
 SAME, NEXT = 6.0, 0.2       # log potentials of equal labels along skip and chain edges
 DOUBT = 4.0                 # log odds that a shape alone can speak against a kind, at most
@@ -88,17 +97,38 @@ def well_formed(kind: str, s: str) -> bool:
     return True
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of the address pattern: from each @, back to the start of its run and on over the domain."""
+    end, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > end and text[start - 1] in _LOCAL:
+            start -= 1
+        domain = _DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            end = domain.end()
+            yield start, end
+        at = text.find("@", max(end, at + 1))
+
+
+def _addresses(text: str) -> Iterator[re.Match]:
+    """Matches of ``_ADDRESS``: at the end of the last one, else at the start of a run."""
+    end = 0
+    while m := (end and _ADDRESS.match(text, end)) or _ADDRESS_RUN.search(text, end):
+        yield m
+        end = m.end()
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) in the order of kinds, then of starts."""
     out = []
     has_digit = _DIGIT.search(text) is not None
     for k, kind in enumerate(KINDS):
         if kind == "email":
-            if "@" not in text:
-                continue
-        elif not has_digit or (kind == "phone" and "+" not in text):
-            continue
-        out += [(k, m.start(), m.end()) for m in PATTERNS[kind].finditer(text) if well_formed(kind, m.group())]
+            out += [(k, s, e) for s, e in _emails(text)]
+        elif has_digit and (kind != "phone" or "+" in text):
+            pattern = _IP if kind == "ip" else PATTERNS[kind]
+            out += [(k, m.start(), m.end()) for m in pattern.finditer(text) if well_formed(kind, m.group())]
     return out
 
 
@@ -120,7 +150,7 @@ def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int
 
     found = list(taken)
     if "@" in text or "at]" in text or "at)" in text or (" dot " in text and " at " in text):
-        found += [(m.start(), m.end(), -1) for m in _ADDRESS.finditer(text) if free(m.start(), m.end())]
+        found += [(m.start(), m.end(), -1) for m in _addresses(text) if free(m.start(), m.end())]
     if _DIGIT.search(text) is not None:
         found += [(m.start(), m.end(), -1) for m in _NUMBER.finditer(text)
                   if free(m.start(), m.end()) and len(_digits(m.group())) >= 6]
@@ -138,7 +168,7 @@ def _shape(s: str) -> list[int]:
     digits = _digits(s)
     n = len(digits)
     marks = "".join(sorted({c for c in s if not c.isalnum()}))
-    groups = ".".join(str(len(g)) for g in _RUN.findall(s)[:6])
+    groups = ".".join(str(len(g)) for g in _RUN.findall(s))
     raw = (f"n{n}", f"m{marks}", f"g{groups}", f"l{16 <= n <= 19 and luhn(digits)}", f"a{any(c.isalpha() for c in s)}",
            f"o{s.count('.') == 3 and all(g.isdigit() and len(g) < 4 and int(g) < 256 for g in s.split('.'))}",
            f"p{s[:1] == '+'}")
@@ -171,32 +201,41 @@ def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         [pa.array(cls, pa.int32()), pa.array(bucket, pa.int32()), pa.array(totals[cls, bucket])], ["cls", "bucket", "n"])
 
 
-def _beliefs(unary: np.ndarray, left: np.ndarray, right: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Loopy sum-product over nodes (n, labels) and edges with a log potential for equal labels."""
+def _beliefs(unary: np.ndarray, left: np.ndarray, right: np.ndarray, weight: np.ndarray,
+             graph: np.ndarray | None = None) -> np.ndarray:
+    """Loopy sum-product over nodes (n, labels) and edges with a log potential for equal labels.
+
+    ``graph``: the graph of each edge; a graph's messages depend on its own only, and stay once all have settled.
+    """
     labels = unary.shape[1]
-    source, target = np.concatenate([left, right]), np.concatenate([right, left])
+    if graph is None:
+        graph = np.zeros(len(left), np.int64)
+    graphs = int(graph.max()) + 1 if len(graph) else 0
+    source, target, graph = np.concatenate([left, right]), np.concatenate([right, left]), np.tile(graph, 2)
     back = np.concatenate([np.arange(len(left)) + len(left), np.arange(len(left))])
-    same = np.exp(np.concatenate([weight, weight]))[:, None]
+    same = np.exp(np.tile(weight, 2))[:, None]
     message = np.full((len(source), labels), 1.0 / labels)
+    swings = np.ones(graphs, bool)
 
     def gathered() -> np.ndarray:
         total = unary.copy()
         np.add.at(total, target, np.log(message))
         return total
 
-    change, rounds = float(len(source) > 0), 0
-    while change > SETTLED:
-        if rounds == ROUNDS:
-            raise RuntimeError(f"messages still change by {change} after {ROUNDS} rounds")
-        rounds += 1
-        cavity = gathered()[source] - np.log(message[back])
-        cavity = np.exp(cavity - cavity.max(axis=1, keepdims=True))
-        # sum over the sender's labels: one for different labels, e^weight for equal ones
-        new = cavity.sum(axis=1, keepdims=True) + (same - 1.0) * cavity
-        new /= new.sum(axis=1, keepdims=True)
-        new = np.maximum(0.5 * message + 0.5 * new, 1e-12)
-        change = np.abs(new - message).max()
-        message = new
+    for damping in DAMPING:
+        for _ in range(ROUNDS):
+            if not swings.any():
+                break
+            cavity = gathered()[source] - np.log(message[back])
+            cavity = np.exp(cavity - cavity.max(axis=1, keepdims=True))
+            # sum over the sender's labels: one for different labels, e^weight for equal ones
+            new = cavity.sum(axis=1, keepdims=True) + (same - 1.0) * cavity
+            new /= new.sum(axis=1, keepdims=True)
+            new = np.maximum(damping * message + (1.0 - damping) * new, 1e-12)
+            change = np.zeros(graphs)
+            np.maximum.at(change, graph, np.abs(new - message).max(axis=1))
+            message = np.where(swings[graph][:, None], new, message)
+            swings &= change > SETTLED * (1.0 - damping)
     total = gathered()
     p = np.exp(total - total.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
@@ -271,7 +310,8 @@ def added_spans(texts: list[str], bases: list[list], model: np.ndarray) -> list[
             before = (here, e, root)
     if not nodes:
         return out
-    p = _beliefs(np.array(unary), np.array(left, np.int64), np.array(right, np.int64), np.array(weight))
+    whose = np.array([nodes[r][0] for r in right], np.int64)
+    p = _beliefs(np.array(unary), np.array(left, np.int64), np.array(right, np.int64), np.array(weight), whose)
     for node, belief in zip(nodes, p):
         if node is None:
             continue
@@ -298,17 +338,12 @@ def _scan(late, keep: int) -> Callable:
     return run
 
 
-def fit_shapes(docs: DataFrame, *, text_col: str = "text", sample: int = SAMPLE_DOCS) -> np.ndarray:
-    """Log probabilities (labels, shapes and prior), from at most ``sample`` documents with digits or '@',
-    the first in the order of a hash of the text."""
+def fit_shapes(docs: DataFrame, *, text_col: str = "text") -> np.ndarray:
+    """Log probabilities (labels, shapes and prior), counted over all documents."""
     prepare(docs.sparkSession)
-    text = F.col(text_col).cast("string")
-    hits = docs.select(text.alias("text")).where(F.col("text").rlike("[0-9]{3}|@"))
-    share = hits.select(F.xxhash64("text").alias("h")).orderBy("h").limit(sample).agg(F.max("h"), F.count("*")).first()
-    if share[1] >= sample:
-        hits = hits.where(F.xxhash64("text") <= share[0])
     counts = np.zeros((len(KINDS) + 1, SHAPES + 1))
-    rows = hits.mapInArrow(_evidence, "cls int, bucket int, n long").groupBy("cls", "bucket").agg(F.sum("n").alias("n"))
+    rows = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(
+        _evidence, "cls int, bucket int, n long").groupBy("cls", "bucket").agg(F.sum("n").alias("n"))
     for r in rows.collect():            # at most labels * shapes rows
         counts[r["cls"], r["bucket"]] = r["n"]
     labels = counts[:, SHAPES] + 1.0
@@ -317,12 +352,11 @@ def fit_shapes(docs: DataFrame, *, text_col: str = "text", sample: int = SAMPLE_
     return model
 
 
-def find_pii(docs: DataFrame, *, text_col: str = "text", keep: list[str] | None = None,
-             sample: int = SAMPLE_DOCS) -> DataFrame:
+def find_pii(docs: DataFrame, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (default doc_id) plus base and added: arrays of struct(kind, start, end)."""
     spark = prepare(docs.sparkSession)
     names = keep or ["doc_id"]
-    late = spark.sparkContext.broadcast(fit_shapes(docs, text_col=text_col, sample=sample))
+    late = spark.sparkContext.broadcast(fit_shapes(docs, text_col=text_col))
     sent = docs.select(*[F.col(c) for c in names], F.col(text_col).cast("string").alias("_text"))
     span = "array<struct<kind:int,start:int,end:int>>"
     return sent.mapInArrow(_scan(late, len(names)), schema_of(sent.schema.fields[:-1], f"base {span}, added {span}"))

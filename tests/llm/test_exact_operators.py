@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from tally.llm import queries
 from tally.llm.decontaminate import benchmark_hits, items_digest
@@ -197,6 +198,45 @@ def test_personal_data(spark, documents):
     assert got[200]["masked"] is None and base_spans("") == []
 
 
+def test_base_spans_equal_the_plain_patterns():
+    from tally.llm import pii
+    rng = random.Random(5)
+    marks = ["a", "B.", "@", "@", "c-d", ".", "1", "22", ".3", "+", " ", "-", "(", ")", "at", " at ", " dot ", "(dot)", "[at]", "%", "_",
+             "4539148803436467", "10.0.0.1", "\n", "é"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(marks) for _ in range(rng.randrange(1, 40)))
+        assert base_spans(text) == [(k, m.start(), m.end()) for k, kind in enumerate(pii.KINDS)
+                                    for m in pii.PATTERNS[kind].finditer(text) if pii.well_formed(kind, m.group())]
+        assert [m.span() for m in pii._addresses(text)] == [m.span() for m in pii._ADDRESS.finditer(text)]
+
+
+@pytest.mark.parametrize("text", ["7" * 1_000_000, "a" * 500_000 + "@" + "b" * 500_000, "a@" * 300_000, "1." * 300_000, "+1 " * 200_000])
+def test_long_runs_take_time_in_proportion(text):
+    import time
+
+    from tally.llm import pii
+    begin = time.process_time()
+    pii.mentions(text, base_spans(text))
+    assert time.process_time() - begin < 30
+
+
+def test_messages_end_on_any_graph():
+    from tally.llm.pii import _beliefs
+    graphs = []
+    for seed in range(300):
+        rng = np.random.default_rng(seed)
+        n, e = rng.integers(2, 12), rng.integers(1, 25)
+        left, right = rng.integers(0, n, e), rng.integers(0, n, e)
+        ok = left != right
+        graphs.append((rng.normal(0, 4, (n, 5)), left[ok], right[ok], rng.choice([6.0, 0.2, -4.0], ok.sum())))
+    alone = [_beliefs(*g) for g in graphs]
+    assert all(np.allclose(p.sum(axis=1), 1.0) for p in alone)
+    at = np.cumsum([0, *[len(g[0]) for g in graphs]])           # one graph's beliefs don't depend on the others
+    together = _beliefs(np.concatenate([g[0] for g in graphs]), *[np.concatenate([g[k] + a for g, a in zip(graphs, at)]) for k in (1, 2)],
+                        np.concatenate([g[3] for g in graphs]), np.repeat(np.arange(len(graphs)), [len(g[1]) for g in graphs]))
+    assert all(np.allclose(p, together[a:a + len(p)], atol=1e-12) for p, a in zip(alone, at))
+
+
 def test_one_label_for_far_repeats(spark, documents):
     far = " ".join(["and then they wrote about something else"] * 20)
     call, mail = "(504) 555-2652", "a.b (at) c (dot) org"

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tally.llm.store import prepare, saved
 
-BLEND = 100.0               # rows of a group that weigh as much as the level above it
+BLEND = 20.0                # rows of a group that weigh as much as the level above it
 SKETCH_K = 400              # sketch size: rank error under 1 %
 GAP = r"[ \t\n\x0B\f\r]+"
 TAIL = 0.9                  # quantile that the spread of shares is taken to

@@ -10,8 +10,9 @@ prefixes; each match fixes the only place where the window can lie
 (positional bound), which must hold as many words of the document (length
 bound); the words there are compared with the window's, byte for byte.
 
-The windows are the broadcast side: in parts of at most ``PART`` windows, as
-many as needed, of which a task holds one at a time.
+The shingles of all windows are counted in one pass over the documents. The
+windows are the broadcast side: in parts of at most ``PART`` windows, as many as
+needed, of which a task holds one at a time and loads each once a batch.
 
 Null and empty texts have no words and contain nothing; items without words
 have no windows. Repeated documents are rows of their own, repeated items
@@ -78,6 +79,8 @@ def _rarity(late, widths: list[int]) -> Callable:
     """Occurrences of the windows' shingles in a task's documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = late.value
+        if not len(vocabulary):
+            return
         totals = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
             for block in blocks(batch.column(0)):
@@ -96,17 +99,18 @@ def _rarity(late, widths: list[int]) -> Callable:
 class _Index:
     """One part of the windows by their prefix shingle."""
 
-    def __init__(self, rows: list, counts: dict[int, int]):
+    def __init__(self, rows: list, vocabulary: np.ndarray, counts: np.ndarray):
         by: dict[bytes, tuple[int, list[int], set]] = {}
         for r in rows:
             by.setdefault(bytes(r["words"]), (r["sequence"], r["shingles"], set()))[2].add(r["item"])
-        live = [(w, q, s, i) for w, (q, s, i) in by.items() if all(x in counts for x in s)]
-        self.words = [w for w, _, _, _ in live]
-        self.items = [sorted(i) for _, _, _, i in live]
+        occurs = lambda s: counts[np.searchsorted(vocabulary, np.array(s, np.int64).view(np.uint64))]
+        live = [(w, q, s, i, n) for w, (q, s, i) in by.items() if (n := occurs(s)).all()]
+        self.words = [w for w, *_ in live]
+        self.items = [sorted(i) for _, _, _, i, _ in live]
         self.length = np.array([w.count(b" ") + 1 for w in self.words], np.int64)
-        self.sequence = np.array([q for _, q, _, _ in live], np.int64).view(np.uint64)
-        offset = [min(range(len(s)), key=lambda k: (counts[s[k]], s[k])) for _, _, s, _ in live]
-        prefix = np.array([s[k] for (_, _, s, _), k in zip(live, offset)], np.int64).view(np.uint64)
+        self.sequence = np.array([q for _, q, *_ in live], np.int64).view(np.uint64)
+        offset = [min(range(len(s)), key=lambda k: (n[k], s[k])) for _, _, s, _, n in live]
+        prefix = np.array([s[k] for (_, _, s, _, _), k in zip(live, offset)], np.int64).view(np.uint64)
         order = np.argsort(prefix, kind="stable")
         self.window, self.offset = order, np.array(offset, np.int64)[order] if live else order
         self.prefix, self.first = np.unique(prefix[order], return_index=True)
@@ -151,25 +155,25 @@ def _match(late: list, widths: list[int], keep: int) -> Callable:
     """The kept columns and n_words, n_hit, items of each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(keep)
             n_words, n_hit = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             items: list[set] = [set() for _ in range(batch.num_rows)]
-            for block in blocks(texts):
-                start, end, names, at = block.words(WORDY, LOWER)
-                own = slice(block.first, block.first + len(block))
-                n_words[own] = np.diff(at)
-                change = np.zeros(len(start) + 1, np.int64)
-                for part in late:
-                    index = part.value
+            cut = [(block, block.words(WORDY, LOWER)) for block in blocks(batch.column(keep))]
+            change = [np.zeros(len(words[0]) + 1, np.int64) for _, words in cut]
+            for part in late:
+                index = part.value
+                for (block, (start, end, names, at)), own in zip(cut, change):
                     place, window = index.places(block, start, end, names, at, widths)
-                    np.add.at(change, place, 1)
-                    np.add.at(change, place + index.length[window] if len(place) else place, -1)
+                    np.add.at(own, place, 1)
+                    np.add.at(own, place + index.length[window] if len(place) else place, -1)
                     for text, kind in zip(np.searchsorted(at, place, "right") - 1, window):
                         items[block.first + text].update(index.items[kind])
-                    if len(late) > 1:       # one part in memory at a time
-                        del index, part._value
-                hit = np.concatenate([[0], np.cumsum(np.cumsum(change[:-1]) > 0)])
-                n_hit[own] = hit[at[1:]] - hit[at[:-1]]
+                if len(late) > 1:           # one part in memory at a time
+                    del index, part._value
+            for (block, (_, _, _, at)), own in zip(cut, change):
+                rows = slice(block.first, block.first + len(block))
+                n_words[rows] = np.diff(at)
+                hit = np.concatenate([[0], np.cumsum(np.cumsum(own[:-1]) > 0)])
+                n_hit[rows] = hit[at[1:]] - hit[at[:-1]]
             names_out = [*batch.schema.names[:keep], "n_words", "n_hit", "items"]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:keep], pa.array(n_words), pa.array(n_hit),
@@ -190,15 +194,18 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, *, text_col: str = "text",
     text = F.col(text_col).cast("string")
     widths = sorted(r[0] for r in windows.select(F.least(
         F.lit(SHINGLE), F.size(F.split(F.col("words").cast("string"), " ")))).distinct().collect())
+    found = windows.select(F.explode("shingles").alias("shingle")).distinct().toPandas()     # 8 bytes a word of the items
+    names = np.sort(found["shingle"].to_numpy(np.int64).view(np.uint64))
+    vocabulary = spark.sparkContext.broadcast(names)
+    counted = docs.select(text.alias("text")).mapInArrow(
+        _rarity(vocabulary, widths), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(len(names), np.int64)
+    counts[np.searchsorted(names, counted["shingle"].to_numpy(np.int64).view(np.uint64))] = counted["n"].to_numpy(np.int64)
     parts = -(-windows.count() // part)
     late = []
     for p in range(parts):
         rows = windows.where(F.pmod(F.xxhash64("words"), F.lit(parts)) == p).collect()
-        vocabulary = spark.sparkContext.broadcast(
-            np.unique(np.array([s for r in rows for s in r["shingles"]], np.int64).view(np.uint64)))
-        counted = docs.select(text.alias("text")).mapInArrow(
-            _rarity(vocabulary, widths), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-        late.append(spark.sparkContext.broadcast(_Index(rows, {r["shingle"]: r["n"] for r in counted.collect()})))
+        late.append(spark.sparkContext.broadcast(_Index(rows, names, counts)))
     sent = docs.select(*[F.col(c) for c in kept], text.alias("_text"))
     return sent.mapInArrow(_match(late, widths, len(kept)),
                            schema_of(sent.schema.fields[:-1], "n_words long, n_hit long, items array<string>"))

@@ -1,8 +1,10 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
 Documents with equal shingle sets are one class; only classes are joined.
-All sets are ordered alike (very frequent shingles last, the others by their
-64-bit name). Two sets with Jaccard similarity >= t of sizes n, m share at
+All sets are ordered alike, from rare to frequent: by the hashed document
+frequency of a shingle (a counter for all documents, in steps of a tenth), then
+by its 64-bit name. Other shingles of a counter can only make one seem more
+frequent, by a share of the corpus of about a set's size over ``COUNTERS``. Two sets with Jaccard similarity >= t of sizes n, m share at
 least ceil(t * n) shingles, so their first ``n - ceil(t * n) + l`` shingles
 share at least l. Every class writes its longest prefix (l = ``max_match``).
 A pair must share min(l, l') prefix shingles, and as many more as its sizes
@@ -44,13 +46,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.components import components
-from tally.llm.store import prepare, saved, sized
+from tally.llm.store import ARROW_ROWS, prepare, saved, sized
 from tally.llm.textbytes import LOWER, SPACE, blocks, shingles
 
-#: A shingle in this share of the documents of a chunk is ordered last.
-FREQUENT_SHARE = 0.004
-CHUNK_DOCS = 2000
-FREQUENT_BOUND = 200_000        # entries of the broadcast order (8 bytes each)
+#: Counters of the shingles' document frequencies, a byte of the broadcast order each (a power of two).
+COUNTERS = 1 << 22
+PAGE = 1 << 12                  # counters of a row
+FAN_IN = 256                    # tasks whose counts are added in one group
+_COUNTER = np.uint64(COUNTERS - 1)
 BROADCAST_COPIES = 2_000_000    # row numbers (8 bytes each) of copies that are broadcast, beyond it a shuffle join
 BROADCAST_IDS = 200_000         # rows of a broadcast id list, beyond it a shuffle join
 READ_COST = 0.2                 # of one more prefix shingle, in candidates
@@ -58,34 +61,67 @@ MAX_MATCH = 8
 CELL = 64                       # classes of a block
 
 
-def _frequent(size: int) -> Callable:
-    """Shingles frequent in some chunk of a task, with their counts there.
-
-    A shingle of share s in the whole has that share in some chunk, so none
-    is missed; the order they give affects the cost only, never the result.
-    """
+def _pages(size: int) -> Callable:
+    """(task, page, counts): the documents of a task that hold a shingle of each counter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def out() -> pa.RecordBatch:
-            token, count = np.unique(np.concatenate(held), return_counts=True)
-            keep = count >= max(8, FREQUENT_SHARE * len(held))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(token[keep].view(np.int64)), pa.array(count[keep].astype(np.int64))], ["token", "n"])
-
+        context = TaskContext.get()
+        count, held, waiting = np.zeros(COUNTERS, np.int64), [], 0
         for batch in batches:
             for block in blocks(batch.column(0)):
                 _, _, names, at = block.words(SPACE_NOT, LOWER)
                 for k in range(len(block)):
-                    held.append(shingles(names, at[k], at[k + 1], size))
-                    if len(held) >= CHUNK_DOCS:
-                        yield out()
-                        held = []
-        if held:
-            yield out()
+                    held.append(shingles(names, at[k], at[k + 1], size) & _COUNTER)
+                    waiting += len(held[-1])
+                    if waiting >= COUNTERS:
+                        count += np.bincount(np.concatenate(held).view(np.int64), minlength=COUNTERS)
+                        held, waiting = [], 0
+        if waiting:
+            count += np.bincount(np.concatenate(held).view(np.int64), minlength=COUNTERS)
+        pages = count.reshape(-1, PAGE)
+        some = np.flatnonzero(pages.any(axis=1))
+        for at in range(0, len(some), ARROW_ROWS):
+            part = some[at:at + ARROW_ROWS]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(part), context.partitionId() if context else 0, np.int64)), pa.array(part),
+                pa.array([_packed(pages[i]) for i in part], pa.binary())], ["task", "page", "counts"])
     return run
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """The counts in as many bytes each as the largest one takes."""
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // PAGE}").astype(np.int64)
+
+
+def _added(key: tuple, pages: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(PAGE, np.int64)
+    for data in pages["counts"]:
+        total += _unpacked(data)
+    return pd.DataFrame({"task": [key[0]], "page": [key[1]], "counts": [_packed(total)]})
+
+
+def frequency_levels(texts: DataFrame, size: int) -> np.ndarray:
+    """A byte per counter: 7 times log2 of the documents that hold one of its shingles.
+
+    ``texts`` has one column. Counts of all documents; those of ``FAN_IN``
+    tasks are added at a time, so that no group grows with the corpus. The
+    driver gets one byte for each of the ``COUNTERS``.
+    """
+    pages = saved(texts.mapInArrow(_pages(size), "task long, page long, counts binary"), "jaccard-counts")
+    last = pages.agg(F.max("task")).first()[0] or 0
+    while last:
+        pages = saved(pages.groupBy(F.expr(f"task div {FAN_IN}").alias("task"), "page")
+                      .applyInPandas(_added, pages.schema), "jaccard-counts")
+        last //= FAN_IN
+    levels = np.zeros((COUNTERS // PAGE, PAGE), np.uint8)
+    for row in pages.select("page", "counts").collect():
+        levels[row["page"]] = np.minimum(255, np.round(7 * np.log2(_unpacked(row["counts"]) + 1)))
+    return levels.ravel()
+
+
 SPACE_NOT = ~SPACE
 
 
@@ -98,12 +134,12 @@ def required(n: int, percent: int) -> int:
     return (percent * n + 99) // 100
 
 
-def _sets(size: int, percent: int, max_match: int, late) -> Callable:
+def _sets(size: int, percent: int, max_match: int, levels) -> Callable:
     """(uid, id, n, fingerprint, prefix) of each row; prefix in the common order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         uid = (context.partitionId() if context else 0) << 40
-        frequent = late.value
+        level = levels.value
         for batch in batches:
             sizes, prints, prefixes = [], [], []
             for block in blocks(batch.column(1)):
@@ -118,14 +154,7 @@ def _sets(size: int, percent: int, max_match: int, late) -> Callable:
                         prefixes.append(np.zeros(0, np.int64))
                         continue
                     width = min(n, n - need + max_match)
-                    if len(frequent):
-                        where = np.searchsorted(frequent, tokens)
-                        where[where == len(frequent)] = 0
-                        common = frequent[where] == tokens
-                        rare = tokens[~common][:width]
-                        head = np.concatenate([rare, tokens[common][:width - len(rare)]])
-                    else:
-                        head = tokens[:width]
+                    head = tokens[np.argsort(level[tokens & _COUNTER], kind="stable")[:width]]
                     prefixes.append(head.view(np.int64))
             ends = np.zeros(len(prefixes) + 1, np.int32)
             np.cumsum([len(x) for x in prefixes], out=ends[1:])
@@ -261,12 +290,8 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = dict(texts.dtypes)["id"]
 
-    often = (texts.select("text").mapInArrow(_frequent(size), "token long, n long")
-             .groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(FREQUENT_BOUND))
-    late = spark.sparkContext.broadcast(
-        np.sort(np.array([r["token"] for r in often.collect()], np.int64).view(np.uint64)))
-
-    rows = saved(texts.mapInArrow(_sets(size, percent, max_match, late),
+    levels = spark.sparkContext.broadcast(frequency_levels(texts.select("text"), size))
+    rows = saved(texts.mapInArrow(_sets(size, percent, max_match, levels),
                                   f"uid long, id {id_type}, n long, print binary, prefix array<long>"), "jaccard-rows")
     classes = saved(rows.where("n > 0").groupBy("print").agg(
         F.min(F.struct("uid", "id")).alias("first"), F.max("n").alias("n"), F.count("*").alias("members"))

@@ -1,19 +1,22 @@
 """Operators with an exact result, against plain Python on texts made to be awkward."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from tally.llm import queries
+from tally.llm import jaccard_join, queries
 from tally.llm.decontaminate import benchmark_hits, items_digest
 from tally.llm.jaccard_join import jaccard_components
 from tally.llm.pii import base_spans, find_pii, masked, span_list
 from tally.llm.quality_rules import judge
 from tally.llm.select import kth_largest
 from tally.llm.suffix_dedup import remove_repeats
+from tally.llm.textbytes import LOWER, SPACE, blocks, shingles
 from tally.llm.token_counts import token_counts
 
 ODD = [None, "", " \n\t", "a", "A b", "é" * 300, "ab" * 400, "x " * 900, "THE!! the!! THE!!\n" * 40]
@@ -97,6 +100,39 @@ def test_a_chain_of_near_copies_is_one_component(spark, documents):
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_frequency_levels_count_all_documents(spark, documents, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FAN_IN", 2)      # several rounds of adding
+    rows = corpus(3) + [(1000 + i, f"common words here w{i} x{i}") for i in range(700)] + [(None, None), (1, "")]
+    texts = documents(rows).select("text").repartition(9)
+    got = jaccard_join.frequency_levels(texts, 3)
+    count = Counter()
+    for _, t in rows:
+        column = pa.array([t or ""])
+        for block in blocks(column):
+            _, _, names, at = block.words(~SPACE, LOWER)
+            count.update((shingles(names, at[0], at[1], 3) % jaccard_join.COUNTERS).tolist())
+    want = np.zeros(jaccard_join.COUNTERS, np.uint8)
+    for k, n in count.items():
+        want[k] = min(255, round(7 * math.log2(n + 1)))
+    assert max(count.values()) >= 700 and (got == want).all()
+    assert not jaccard_join.frequency_levels(texts.limit(0), 3).any()
+
+
+def test_shingles_of_few_documents_make_no_candidates(spark, documents):
+    """A passage in a share of 0.3 % of the texts, ordered behind the rarer shingles of each, joins none of them."""
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(12))
+    rows = [(i, words_of(rng, 60, 10**9) + (" " + passage if i % 300 == 0 else "")) for i in range(6000)]
+    levels = jaccard_join.frequency_levels(documents(rows).select("text"), 3)
+    _, _, names, at = (block := next(blocks(pa.array([passage])))).words(~SPACE, LOWER)
+    common = set(shingles(names, at[0], at[1], 3).view(np.int64).tolist())
+    sets = jaccard_join._sets(3, 90, 8, spark.sparkContext.broadcast(levels))
+    batch = documents(rows[::300]).select("doc_id", "text").toArrow().to_batches()
+    prefixes = [set(p) for out in sets(iter(batch)) for p in out.column("prefix").to_pylist()]
+    assert len(prefixes) == 20 and len(block) == 1
+    assert not any(p & common for p in prefixes)
+
+
 def test_benchmark_windows(spark, documents):
     rng = random.Random(5)
     items = [(i, words_of(rng, n, 60)) for i, n in enumerate([3, 10, 25, 40, 1, 9])] + [(6, None), (7, "!!"), (None, "w1 w2")]

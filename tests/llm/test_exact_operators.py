@@ -9,7 +9,8 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from tally.llm import jaccard_join, queries
+from pyspark.sql import functions as F
+from tally.llm import jaccard_join, queries, suffix_dedup
 from tally.llm.decontaminate import benchmark_hits, items_digest
 from tally.llm.jaccard_join import jaccard_components
 from tally.llm.pii import base_spans, find_pii, masked, span_list
@@ -18,6 +19,7 @@ from tally.llm.select import kth_largest
 from tally.llm.suffix_dedup import remove_repeats
 from tally.llm.textbytes import LOWER, SPACE, blocks, shingles
 from tally.llm.token_counts import token_counts
+from tally.operators.keyfilter import cannot_match, key_filter, may_match
 
 ODD = [None, "", " \n\t", "a", "A b", "é" * 300, "ab" * 400, "x " * 900, "THE!! the!! THE!!\n" * 40]
 
@@ -62,6 +64,32 @@ def test_repeats(spark, documents, seed):
     assert sorted(map(tuple, got)) == sorted(want) and any(w[2] for w in want)
 
 
+def test_repeats_beyond_the_broadcast(spark, documents, monkeypatch):
+    docs = documents(corpus(3))
+    few = sorted(map(tuple, remove_repeats(docs, with_text=True).collect()))
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_RUNS", 0)
+    assert sorted(map(tuple, remove_repeats(docs, with_text=True).collect())) == few and any(r[2] for r in few)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_texts_without_runs_are_not_shuffled(spark, monkeypatch, how):
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_RUNS", 0)
+    texts = spark.range(400).select("id", F.xxhash64("id").alias("name"), F.col("id").cast("string").alias("text"))
+    lists = texts.where("id % 100 = 7").select("id", "name", F.array(F.struct(F.col("id").alias("at"))).alias("runs"))
+    found = suffix_dedup._joined(texts, lists, "runs", how)
+    assert "getbit" in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.id: r.runs for r in found.collect()}
+    assert sorted(k for k, v in got.items() if v) == [7, 107, 207, 307] and len(got) == (4 if how == "inner" else 400)
+
+
+def test_a_key_filter_parts_the_rows(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") % 50 > 0, F.col("id")).alias("key"))
+    wanted = key_filter(rows.where("key % 10 = 3"), "key")
+    match, rest = (sorted(r.key or 0 for r in f(rows, "key", wanted).collect()) for f in (may_match, cannot_match))
+    assert set(range(3, 1000, 10)) <= set(match) and len(match) < 110
+    assert sorted(match + rest) == sorted(r.key or 0 for r in rows.collect()) and rest[:20] == [0] * 20
+
+
 def shingle_set(text, size):
     w = re.findall("[^ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return frozenset(zip(*(w[i:] for i in range(size)))) if len(w) >= size else frozenset([tuple(w)] if w else [])
